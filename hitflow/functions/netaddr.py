@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitflow.functions.text import strip
+from hitflow.functions.text import WHITE_SPACE
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _QUAD = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -20,7 +20,7 @@ _MAPPED_HEX = "00000000000000000000ffff"
 
 def first_hop(forwarded_for: Column) -> Column:
     """Address nearest the client in a forwarded-for list."""
-    return strip(F.split_part(forwarded_for, F.lit(","), F.lit(1)))
+    return F.btrim(F.split_part(forwarded_for, F.lit(","), F.lit(1)), F.lit(WHITE_SPACE))
 
 
 def is_ipv4(address: Column) -> Column:

@@ -16,9 +16,9 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# URL schemes whose last path segment may carry ";parameters".
+# URL schemes whose last path segment may carry ";parameters", as may a URL without one.
 PARAMETER_SCHEMES = (
-    "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps",
+    "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps",
     "sip", "sips", "mms", "sftp", "tel",
 )
 
@@ -31,19 +31,23 @@ def strip(text: Column) -> Column:
     return F.when(loose, F.btrim(text, spaces)).otherwise(text)
 
 
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.-]*:"
+_AUTHORITY = r"(?://[^/?#]*)?"
+_URL = (
+    r"(?s)\A[\x00-\x20]*(?:"
+    rf"(?!(?i:{'|'.join(PARAMETER_SCHEMES)}):){_SCHEME}{_AUTHORITY}([^?#]*)"
+    rf"|(?:{_SCHEME})?{_AUTHORITY}([^?#;]*+(?:;(?=[^?#]*/)[^?#;]*+)*+)"
+    r").*\z"
+)
+
+
 def url_path(url: Column) -> Column:
     """Path of a URL reference without scheme, authority, query, fragment or last-segment parameters.
 
-    Built on regular expressions because ``parse_url`` refuses raw spaces and pipes, which real log
-    lines contain.
+    One regular expression, because ``parse_url`` refuses raw spaces and pipes, which real log lines
+    contain.
     """
-    clean = F.regexp_replace(url, r"^[\x00-\x20]+", "")
-    scheme = F.lower(F.regexp_extract(clean, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    path = F.regexp_extract(
-        clean, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1
-    )
-    has_parameters = F.contains(path, F.lit(";")) & scheme.isin(*PARAMETER_SCHEMES)
-    return F.when(has_parameters, F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
+    return F.regexp_replace(url, _URL, "$1$2")
 
 
 def percent_decode(text: Column) -> Column:

@@ -195,6 +195,8 @@ def _carried_forward(impressions: DataFrame, longest: int) -> DataFrame:
     )
     following = F.lead("_slice").over(W.partitionBy(*tier).orderBy("_slice"))
     reach = F.col("_slice") + F.ceil(F.lit(longest) / F.col("_width"))
-    last = F.least(F.coalesce(following, reach), reach)
-    later = F.explode(F.sequence(F.col("_slice") + 1, last))
-    return newest.select(*tier, "_m.*", later.alias("_slice"))
+    reaching = newest.withColumn("_next", following).withColumn(
+        "_last", F.least(F.coalesce("_next", reach), reach)
+    )
+    later = F.explode(F.sequence(F.col("_slice") + 1, F.col("_last")))
+    return reaching.select(*tier, "_m.*", later.alias("_slice"))

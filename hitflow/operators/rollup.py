@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitflow.operators.classify import where_computed
+
 
 def _hits() -> Column:
     return F.count("*").alias("hits")
@@ -39,8 +41,9 @@ def rejects_by_reason(touches: DataFrame) -> DataFrame:
 
 def backlog(entries: DataFrame, after: int, order: str = "id") -> DataFrame:
     """Routed entries per category not yet consumed."""
-    waiting = entries.where(F.col(order) > after).groupBy("category").agg(F.count("*").alias("waiting"))
-    return waiting.where(F.col("category").isNotNull())
+    waiting = entries.where(F.col(order) > after).select("category")
+    routed = where_computed(waiting, F.col("category").isNotNull())
+    return routed.groupBy("category").agg(F.count("*").alias("waiting"))
 
 
 def peek(entries: DataFrame, n: int = 1, order: str = "id") -> DataFrame:

@@ -306,5 +306,19 @@ SELECT host, concat('/var/log/edge/', file) AS path, max(ingest_time) AS mtime F
 QUALIFY row_number() OVER (PARTITION BY host ORDER BY max(ingest_time) DESC) = 1""",
 }
 # The stream of accepted hits must equal the batch result.
-for _name in ("stream_accepted_webhits",):
-    ORACLES[_name] = ORACLES["accepted_webhits"]
+ORACLES["stream_accepted_webhits"] = ORACLES["accepted_webhits"]
+ORACLES["stream_route"] = f"""WITH {PARAMETERS}
+SELECT CASE category WHEN 'impression' THEN 'impressions_queue' ELSE 'webhits_queue' END AS queue, host, line_num, path,
+       "timestamp", client_ip, client, booking, creative, site FROM params WHERE category IS NOT NULL"""
+ORACLES["stream_bridge"] = f"""WITH lines AS ({LINES}),
+e AS (SELECT id, concat('{{"host":"', host, '","line_num":', line_num, ',"raw":"', replace(raw, chr(9), '\\t'), '"}}') AS value
+      FROM lines)
+SELECT CASE WHEN id % 5 = 0 THEN 'rejects' ELSE 'messages' END AS queue, count(*) AS messages,
+       CAST(sum(CASE WHEN id % 5 = 0 THEN 20 ELSE length(value) END) AS BIGINT) AS characters FROM e GROUP BY 1"""
+# No look-back bound here: state expires in processing time, and a single run takes no time.
+ORACLES["stream_stateful_attribution"] = f"""WITH {TOUCHES},
+attributed AS (
+  SELECT {HIT_COLUMNS}, i.id AS impression_id, i.event_time AS impression_time
+  FROM hits h JOIN imps i ON i.client_id = h.client_id AND i.ip = h.ip {BEFORE}
+  QUALIFY row_number() OVER (PARTITION BY h.id ORDER BY i.event_time DESC, i.id DESC) = 1)
+SELECT * FROM attributed QUALIFY {FIRST}"""

@@ -24,8 +24,11 @@ from hitflow.operators import (
     upsert,
 )
 from hitflow.plans import pipeline
-from hitflow.plans.workload import load, load_lines
-from hitflow.schemas import PROCESSING_STATE
+from hitflow.plans.workload import lines_from_events, load, load_lines
+from hitflow.schemas import ENTRY, ENVELOPE, PROCESSING_STATE
+from hitflow.session import state_store
+from hitflow.sources.staging import new_location
+from hitflow.streaming import attribution, queues, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -506,3 +509,73 @@ def latest_rotated_file(spark, sf_dir):
         .agg(F.max("ingest_time").alias("mtime"))
     )
     return tail.latest_rotated_file(files)
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+def _event_stream(spark, sf_dir):
+    """The events table as a stream of log lines."""
+    schema = load(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return lines_from_events(events)
+
+
+def _drained(stream) -> None:
+    stream.awaitTermination()
+
+
+@query
+def stream_route(spark, sf_dir):
+    """Envelopes routed to queues by a stream, read back from the queue folders."""
+    out, checkpoint = new_location(spark, "queues"), new_location(spark, "queues-checkpoint")
+    envelopes = parse.make_envelopes(_event_stream(spark, sf_dir)).select("value")
+    _drained(queues.route_stream(envelopes, out, checkpoint))
+    routed = spark.read.schema("value string, queue string").text(out)
+    entry = messages.read_message(F.col("value"), ENTRY)
+    kept = routed.where(F.col("queue") != queues.REJECT_QUEUE).select("queue", entry.alias("e"))
+    return kept.select(
+        "queue", "e.host", "e.line_num", "e.path", "e.timestamp", "e.client_ip",
+        *[F.col(f"e.query.{name}").alias(name) for name in classify.ALIASES],
+    )
+
+
+@query
+def stream_bridge(spark, sf_dir):
+    """Envelopes moved by a stream; every fifth was cut short and is set aside. Counts per side."""
+    out, checkpoint = new_location(spark, "bridge"), new_location(spark, "bridge-checkpoint")
+    whole = parse.make_envelopes(_event_stream(spark, sf_dir))
+    cut = F.when(F.col("id") % 5 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    _drained(queues.bridge_stream(whole.select(cut.alias("value")), ENVELOPE, out, checkpoint))
+    moved = spark.read.schema("value string, queue string").text(out)
+    return moved.groupBy("queue").agg(
+        F.count("*").alias("messages"), F.sum(F.length("value")).alias("characters")
+    )
+
+
+@query
+def stream_accepted_webhits(spark, sf_dir):
+    """The flagship as a stream over stored tables."""
+    root, checkpoint = new_location(spark, "tables"), new_location(spark, "tables-checkpoint")
+    _drained(attribution.attribution_stream(_event_stream(spark, sf_dir), root, checkpoint))
+    return attribution.AttributionTables(root).accepted(spark).drop("event_date", "batch_id")
+
+
+@query
+def stream_stateful_attribution(spark, sf_dir):
+    """Attribution by arrival with keyed state, over one micro-batch in event order."""
+    out, checkpoint = new_location(spark, "stateful"), new_location(spark, "stateful-checkpoint")
+    rows = classify.accepted_of(
+        pipeline.touches_of(_event_stream(spark, sf_dir)),
+        "id", "event_time", "client_id", "site_id", "ip",
+    )
+    hits = stateful.attribute_stateful(stateful.tagged(rows))
+    with state_store(spark):
+        _drained(
+            hits.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    return spark.read.schema(hits.schema).parquet(out)

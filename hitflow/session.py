@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,18 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_store(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, as keyed state with expiry requires."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints; a local one only where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -57,7 +59,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table written with ``write_batch``, with event_date and batch_id."""
-    full = schema.simpleString()[len("struct<"):-1]
-    return spark.read.schema(f"{full},event_date:date,batch_id:bigint").parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written with ``write_batch``, with event_date and batch_id; empty before the first batch."""
+    batch_columns = [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
+    full = T.StructType([*schema.fields, *batch_columns])
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
