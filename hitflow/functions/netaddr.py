@@ -32,6 +32,15 @@ def mapped_ipv4(address: Column) -> Column:
     return F.when(is_ipv4(address), F.concat(F.lit("::ffff:"), address))
 
 
+def _pinned(result: Column) -> Column:
+    """The same value, marked as not deterministic.
+
+    It keeps Catalyst from copying the long chain of expressions behind an address into every filter on
+    it, where the copies would multiply.
+    """
+    return F.when(F.spark_partition_id() >= 0, result)
+
+
 def _hex_of_quad(quad: Column) -> Column:
     octets = [F.split_part(quad, F.lit("."), F.lit(i)).try_cast("int") for i in range(1, 5)]
     return F.lower(F.concat(*[F.lpad(F.hex(o), 2, "0") for o in octets]))
@@ -111,12 +120,12 @@ def with_address(df: DataFrame, address: str, text: str | None = None, packed: s
     """
     df = _with_hex(df, address, "_hex", with_ipv4=packed is not None)
     if packed:
-        df = df.withColumn(packed, F.unhex("_hex"))
+        df = df.withColumn(packed, _pinned(F.unhex("_hex")))
     if text:
         scope = F.regexp_extract(address, r"(%[^%]+)\z", 1)
         df = _text_of_hex(df, "_hex", "_text")
         canonical = F.coalesce(mapped_ipv4(F.col(address)), F.concat("_text", scope))
-        df = df.withColumn(text, canonical).drop("_text")
+        df = df.withColumn(text, _pinned(canonical)).drop("_text")
     return df.drop("_hex")
 
 
@@ -125,4 +134,4 @@ def with_text_of_packed(df: DataFrame, packed: str, text: str) -> DataFrame:
     df = df.withColumn("_hex", F.when(F.length(packed) == 16, F.lower(F.hex(packed))))
     df = _text_of_hex(df, "_hex", "_text")
     quad = F.when(F.length(packed) == 4, _quad_of_hex(F.hex(packed)))
-    return df.withColumn(text, F.coalesce(quad, "_text")).drop("_hex", "_text")
+    return df.withColumn(text, _pinned(F.coalesce(quad, "_text"))).drop("_hex", "_text")

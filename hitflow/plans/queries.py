@@ -570,7 +570,7 @@ def stream_stateful_attribution(spark, sf_dir):
         "id", "event_time", "client_id", "site_id", "ip",
     )
     hits = stateful.attribute_stateful(stateful.tagged(rows))
-    with state_store(spark):
+    with state_store(spark, drain=True):
         _drained(
             hits.writeStream.format("parquet")
             .option("path", out)

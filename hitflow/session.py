@@ -43,15 +43,26 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def state_store(spark: SparkSession):
-    """Streams started inside keep their state in RocksDB, as keyed state with expiry requires."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def state_store(spark: SparkSession, drain: bool = False):
+    """Streams started inside keep their state in RocksDB, as keyed state with expiry requires.
+
+    With ``drain`` they stop once the input is used up, instead of going on with empty batches that only
+    advance processing time.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+    if drain:
+        wanted["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
