@@ -47,10 +47,15 @@ def seen_sites(accepted: DataFrame) -> DataFrame:
     return accepted.groupBy(*KEY).agg(F.sort_array(F.collect_set("site_id")).alias("sites"))
 
 
-def drop_seen(hits: DataFrame, accepted: DataFrame) -> DataFrame:
+def drop_seen(
+    hits: DataFrame, accepted: DataFrame, heavy_rows: int = skew.MIN_ROWS
+) -> DataFrame:
     """Drop hits whose site was already accepted for their (client, address)."""
-    pairs = [*KEY, "site_id"]
-    return hits.join(accepted.select(*pairs).distinct(), pairs, "left_anti")
+    key = (*KEY, "site_id")
+    heavy = skew.find_heavy_keys(hits, key, heavy_rows)
+    seen = accepted.select(*key).distinct()
+    left = skew.join_spread(hits, seen, key, "left_anti", heavy, F.col("id"), heavy_rows)
+    return left.select(*hits.columns)
 
 
 def dedupe_greedy(

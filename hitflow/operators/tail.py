@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hitflow.operators import skew
 from hitflow.operators.upsert import upsert
 
 # A saved-state table has one row per host; above this many rows it is joined by shuffle.
@@ -43,14 +44,17 @@ def resume_tail(lines: DataFrame, state: DataFrame, max_hosts: int = MAX_BROADCA
     """
     saved = state.select("host", F.col("file").alias("_file"), F.col("last_line_num").alias("_last"))
     if saved.limit(max_hosts + 1).count() <= max_hosts:
-        saved = F.broadcast(saved)
+        located = lines.join(F.broadcast(saved), "host", "left")
+    else:
+        heavy = skew.find_heavy_keys(lines, ["host"])
+        located = skew.join_spread(lines, saved, ["host"], "left", heavy, F.col("line_num"))
     file = F.col("file")
     unread = (
         F.col("_file").isNull()
         | (file > F.col("_file"))
         | ((file == F.col("_file")) & (F.col("line_num") > F.col("_last")))
     )
-    return lines.join(saved, "host", "left").where(unread).select(*lines.columns)
+    return located.where(unread).select(*lines.columns)
 
 
 def tail_state(lines: DataFrame, first_lines: DataFrame) -> DataFrame:

@@ -53,5 +53,6 @@ def accepted_hits(
     """Attributed hits, one per (impression, site); those already in the store are left out."""
     hits = attribute_last_touch(routed.webhits, routed.impressions, archive=archive)
     if stored is not None:
-        hits = dedupe_against_store(hits, stored)
+        # Read twice below (to find heavy pairs, then to join), so attribution is written down first.
+        hits = dedupe_against_store(stage(hits, "attributed"), stored)
     return dedupe_first(hits)

@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hitflow.functions.times import days
-from hitflow.operators.attribute import KEY, LOOKBACK_DAYS, attribute_last_touch
-from hitflow.operators.dedupe import dedupe_against_store, dedupe_first
-from hitflow.plans.pipeline import route_once
+from hitflow.operators.attribute import KEY, LOOKBACK_DAYS
+from hitflow.plans.pipeline import Routed, accepted_hits, route_once
 from hitflow.sources.tables import read_batches, write_batch
 from hitflow.streaming.queues import run
 
@@ -68,9 +67,8 @@ class AttributionTables:
             .where(in_reach & (F.col("batch_id") <= batch_id))
             .join(keys, list(KEY), "left_semi")
         )
-        hits = attribute_last_touch(routed.webhits, known)
         stored = self.accepted(spark).where(in_reach & (F.col("batch_id") < batch_id))
-        fresh = dedupe_first(dedupe_against_store(hits, stored))
+        fresh = accepted_hits(Routed(known, routed.webhits), stored=stored)
         write_batch(fresh.select(*_ACCEPTED.fieldNames()), f"{self.root}/webhits", batch_id)
 
 

@@ -133,6 +133,15 @@ def test_store_rules_out_later_hits(spark, heavy_rows):
     assert {r.id for r in got} == expected
 
 
+@pytest.mark.parametrize("heavy_rows", [10**9, 10])
+def test_seen_sites_are_dropped(spark, heavy_rows):
+    _, _, hits = _rows(17)
+    df = spark.createDataFrame(hits, HITS)
+    got = dedupe.drop_seen(df.where("id >= 5200"), df.where("id < 5200"), heavy_rows).collect()
+    seen = {h[2:] for h in hits if h[0] < 5200}
+    assert {r.id for r in got} == {h[0] for h in hits if h[0] >= 5200 and h[2:] not in seen}
+
+
 def test_new_impression_opens_a_site_again(spark):
     hits = [(10, START + timedelta(hours=1), 1, 4, "a"), (11, START + timedelta(hours=2), 1, 4, "a"),
             (12, START + timedelta(hours=4), 1, 4, "a")]
