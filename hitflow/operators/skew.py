@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hitflow.functions.times import wall_seconds
 
