@@ -22,14 +22,22 @@ SETTINGS = {
 
 
 def build_session(
-    name: str = "hitflow", master: str | None = None, shuffle_partitions: int | None = None
+    name: str = "hitflow",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    shared: str | None = None,
 ) -> SparkSession:
-    """A session with the settings above; on a cluster the submit command names master and sizes."""
+    """A session with the settings above; on a cluster the submit command names master and sizes.
+
+    ``shared`` is the folder for intermediate tables, for a cluster that does not preset ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
@@ -65,11 +73,22 @@ def state_store(spark: SparkSession, drain: bool = False):
             spark.conf.set(key, value)
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints; a local one only where none is set."""
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Only where it is unset and driver and executors are one process (``local[...]``) does a temporary folder
+    stand in; on a cluster an unset folder is an error, because executors would not see each other's files.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="hitflow-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        spark.sparkContext.setCheckpointDir(named)
-    return named
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all executors share, "
+            "for instance with build_session(shared='hdfs:///tmp/hitflow')"
+        )
+    return _LOCAL_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="hitflow-"))
