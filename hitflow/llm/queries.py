@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import quality
+from hitflow.llm import mixing, near, quality, tiling
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items, with the items and how far they are covered."""
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of every document."""
@@ -35,4 +41,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of each document, and whether it stays."""
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_ORACLES: dict[str, str] = {}
