@@ -76,7 +76,7 @@ def plan(draws: DataFrame) -> DataFrame:
     """One row per source: source_size, target, complete epochs and where the last, partial one is cut.
 
     ``draws`` is a written table of source, _size and _key. A document is in the partial epoch if its bucket lies
-    below ``cut_bucket``, or is that bucket and its key is at most ``cut_key``.
+    below ``cut_bucket``, or is that bucket and its key is at most ``cut_key`` or just ``fill_key``.
     """
     sizes = draws.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("rows"))
     sources = (
@@ -97,17 +97,32 @@ def plan(draws: DataFrame) -> DataFrame:
         .select("_s", F.col("_edge.bucket").alias("cut_bucket"), F.col("_edge.before").alias("_before"))
     )
     inner = placed.join(edge, F.col("source").eqNullSafe(F.col("_s"))).where("bucket = cut_bucket").drop("_s")
-    along = W.partitionBy("source").orderBy("_key", "doc_id").rowsBetween(W.unboundedPreceding, -1)
+    along = W.partitionBy("source").orderBy("_key", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = inner.withColumn("_upto", F.col("_before") + F.sum("_size").over(along))
     taken = (
-        inner.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum("_size").over(along), F.lit(0)))
-        # The document at the edge is taken if that comes nearer to the target.
-        .where("_sofar + _size / 2 <= _rest")
-        .groupBy(F.col("source").alias("_t"))
-        .agg(F.max("_key").alias("cut_key"))
+        summed.groupBy(F.col("source").alias("_t"))
+        .agg(
+            F.max(F.expr("if(_upto <= _rest, _key, null)")).alias("cut_key"),
+            F.min(F.expr("_rest - if(_upto <= _rest, _upto, _before)")).alias("_open"),
+        )
+    )
+    # What is still open is less than the document at the edge; the document behind the cut that fits best fills it.
+    fits = "abs(_size - _open)"
+    filler = (
+        summed.join(taken, F.col("source").eqNullSafe(F.col("_t")))
+        .where(f"_upto > _rest and _size > 0 and {fits} < _open")
+        .groupBy(F.col("source").alias("_f"))
+        .agg(F.min(F.struct(F.expr(fits), "_key")).getField("_key").alias("fill_key"))
+    )
+    cut = (
+        edge.join(taken, F.col("_s").eqNullSafe(F.col("_t")), "left")
+        .join(filler, F.col("_s").eqNullSafe(F.col("_f")), "left")
+        .select("_s", "cut_bucket", "cut_key", "fill_key")
     )
-    cut = edge.join(taken, F.col("_s").eqNullSafe(F.col("_t")), "left").select("_s", "cut_bucket", "cut_key")
     whole = sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
-    return stage(whole.select("source", "source_size", "target", "epochs", "buckets", "_rest", "cut_bucket", "cut_key"), "mix-plan")
+    return stage(
+        whole.select("source", "source_size", "target", "epochs", "buckets", "cut_bucket", "cut_key", "fill_key"), "mix-plan"
+    )
 
 
 def with_plan(draws: DataFrame, sources: DataFrame) -> DataFrame:
@@ -126,6 +141,7 @@ def with_plan(draws: DataFrame, sources: DataFrame) -> DataFrame:
 def copies() -> str:
     """How many times a document is taken."""
     partial = "coalesce(bucket < cut_bucket or (bucket = cut_bucket and _key <= cut_key), false)"
+    partial = f"({partial} or coalesce(bucket = cut_bucket and _key = fill_key, false))"
     return f"if(_size = 0, 0L, epochs + if({partial}, 1L, 0L))"
 
 
