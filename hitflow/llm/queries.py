@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import mixing, near, quality, tiling
+from hitflow.llm import mixing, near, quality, tiling, tokens
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum in the token files, as read back from them."""
+    return tokens.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark items, with the items and how far they are covered."""
