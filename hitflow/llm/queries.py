@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import mixing, near, quality, tiling, tokens
+from hitflow.llm import licenses, mixing, near, quality, secrets, tiling, tokens
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,12 +47,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, labels and score of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("expressions")
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document that look like secrets."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of each document, and whether it stays."""
