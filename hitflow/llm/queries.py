@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import licenses, mixing, near, quality, secrets, tiling, tokens
+from hitflow.llm import licenses, mixing, near, quality, secrets, substrings, tiling, tokens
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("expressions")
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start in a smaller doc_id."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
