@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import licenses, mixing, near, quality, secrets, substrings, tiling, tokens
+from hitflow.llm import chat, extract, licenses, mixing, near, quality, secrets, substrings, tiling, tokens
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation as one text."""
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum in the token files, as read back from them."""
@@ -77,4 +89,6 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op2_chat_formatting": chat.COLLAPSE_SQL,
+}
