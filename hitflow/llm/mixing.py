@@ -157,7 +157,8 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with its own columns."""
     draws = stage(drawn(docs.select("doc_id", "source", "text")).drop("text"), "mix-draws")
-    columns = docs.columns
-    placed = with_plan(drawn(docs), plan(draws))
-    repeated = placed.withColumn("_copies", F.expr(copies())).where("_copies > 0")
-    return repeated.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+    # The own columns wait in a struct meanwhile, as some could be named like those of the plan.
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", "text")
+    placed = with_plan(drawn(packed).drop("text"), plan(draws))
+    times = F.sequence(F.lit(1), F.expr(copies()).cast("int"))
+    return placed.where(f"{copies()} > 0").select("_row", F.explode(times).alias("_copy")).select("_row.*")
