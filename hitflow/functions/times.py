@@ -12,9 +12,26 @@ ISO_STAMP = (
 )
 
 
+# Fixed value: the basic and mixed shapes of the same standard that are taken as well.
+BASIC_STAMP = (
+    r"\A(?!0000)\d{4}(?:-\d{2}-\d{2}|\d{4})"
+    r"(?:[T ]\d{2}(?:(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)|(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?))?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\z"
+)
+_TO_EXTENDED = (
+    (r"\A(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+    (r"\A(.{13})(\d{2})(\d{2})", "$1:$2:$3"),
+    (r"\A(.{13})(\d{2})(?=\z|[Z+-])", "$1:$2"),
+    (r"\A(.{19}),", "$1."),
+    (r"\A(.{11}[^+-]*[+-]\d{2})\z", "$1:00"),
+)
+
+
 def _iso(stamp: Column) -> Column:
     # The guard matters: a bare cast also takes '2025', 'now' or 'epoch'.
-    return F.when(stamp.rlike(ISO_STAMP), stamp)
+    extended = stamp
+    for pattern, replacement in _TO_EXTENDED:
+        extended = F.regexp_replace(extended, pattern, replacement)
+    return F.when(stamp.rlike(ISO_STAMP), stamp).when(stamp.rlike(BASIC_STAMP), extended)
 
 
 def wall_clock(stamp: Column) -> Column:

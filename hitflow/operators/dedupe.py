@@ -18,9 +18,10 @@ def dedupe_first(hits: DataFrame) -> DataFrame:
     """First hit of every (impression, site).
 
     Exact for causal attribution, where all hits of an impression lie within one look-back. Spark keeps
-    only the first row of a pair on the map side, so a heavy pair shuffles one row per task.
+    only the first row of a pair on the map side, so a heavy pair shuffles one row per task. An impression
+    belongs to one client and address; with them in front, rows that attribution has dealt by these stay put.
     """
-    order = W.partitionBy(*PAIR).orderBy("event_time", "id")
+    order = W.partitionBy(*KEY, *PAIR).orderBy("event_time", "id")
     return hits.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1).drop("_n")
 
 

@@ -74,7 +74,8 @@ typed AS (
          TRY_CAST(creative AS INTEGER) AS creative_id, TRY_CAST(site AS INTEGER) AS site_id,
          {ADDRESS} AS ip, path,
          coalesce(CASE WHEN regexp_matches("timestamp", '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T')
-                       THEN CAST(substr("timestamp", 1, 19) AS TIMESTAMP) END,
+                       THEN CAST(substr("timestamp", 1, 19) AS TIMESTAMP)
+                       WHEN regexp_matches("timestamp", '^[0-9]{{8}}$') THEN strptime("timestamp", '%Y%m%d') END,
                   CASE WHEN category = 'webhit' THEN ingest_time END) AS event_time,
          CASE category WHEN 'impression' THEN client IS NOT NULL AND booking IS NOT NULL AND creative IS NOT NULL
                        WHEN 'webhit' THEN client IS NOT NULL AND site IS NOT NULL ELSE FALSE END AS is_valid
@@ -180,8 +181,10 @@ SELECT id, ip, CASE WHEN starts_with(ip, '::ffff:') THEN concat('000000000000000
   END AS packed_hex FROM a""",
     "event_times": f"""WITH {FIELDS},
 t AS (SELECT id, ingest_time, CASE WHEN regexp_matches("timestamp", '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T')
-             THEN CAST(substr("timestamp", 1, 19) AS TIMESTAMP) END AS wall_clock FROM parsed)
-SELECT id, wall_clock, wall_clock - INTERVAL 12 HOUR AS utc_instant, coalesce(wall_clock, ingest_time) AS event_time,
+             THEN CAST(substr("timestamp", 1, 19) AS TIMESTAMP)
+             WHEN regexp_matches("timestamp", '^[0-9]{{8}}$') THEN strptime("timestamp", '%Y%m%d') END AS wall_clock,
+             CASE WHEN length("timestamp") > 8 THEN INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS shift FROM parsed)
+SELECT id, wall_clock, wall_clock - shift AS utc_instant, coalesce(wall_clock, ingest_time) AS event_time,
        coalesce(wall_clock, ingest_time) - INTERVAL 7 DAY AS lookback_start FROM t""",
     "message_json": f"""WITH {TOUCHES}
 SELECT id, concat('{{"id":', id, ',"timestmp":"', strftime(event_time, '%Y-%m-%dT%H:%M:%S'), '","client_id":', client_id,

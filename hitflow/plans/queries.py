@@ -514,10 +514,14 @@ def latest_rotated_file(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf_dir):
+def _event_stream(spark, sf_dir, files_per_batch=None):
     """The events table as a stream of log lines."""
     schema = load(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # As a pattern the path may name one file as well as a folder of part files.
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(f"{sf_dir}/event[s].parquet")
     return lines_from_events(events)
 
 

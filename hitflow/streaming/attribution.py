@@ -6,15 +6,16 @@ All writes are keyed by batch, so a batch that is run again after a failure repl
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hitflow.functions.times import days
 from hitflow.operators.attribute import KEY, LOOKBACK_DAYS
 from hitflow.plans.pipeline import Routed, accepted_hits, route_once
+from hitflow.sources.staging import stage
 from hitflow.sources.tables import read_batches, write_batch
 from hitflow.streaming.queues import run
 
@@ -37,6 +38,11 @@ _ACCEPTED = T.StructType([
 ])
 
 
+def _around(hit_days: list[date], before: int, after: int) -> list[date]:
+    """The days from ``before`` days ahead of to ``after`` days behind any of the days."""
+    return sorted({day + timedelta(days=n) for day in hit_days for n in range(-before, after + 1)})
+
+
 @dataclass(frozen=True)
 class AttributionTables:
     """Folder that holds the impression table and the table of accepted hits."""
@@ -54,20 +60,20 @@ class AttributionTables:
         spark = lines.sparkSession
         routed = route_once(lines)
         write_batch(routed.impressions, f"{self.root}/impressions", batch_id)
-        span = routed.webhits.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
-        if span["lo"] is None:
+        hit_days = [r[0] for r in routed.webhits.select(F.to_date("event_time")).distinct().collect()]
+        if not hit_days:
             return
-        # Only days within reach of this batch are read, and of those only keys it contains.
-        first_day = F.to_date(F.lit(span["lo"]) - days(LOOKBACK_DAYS))
-        last_day = F.to_date(F.lit(span["hi"]))
-        in_reach = F.col("event_date").between(first_day, last_day)
+        # Only days within reach of a hit of this batch are read, and of those only keys it contains. An impression
+        # lies at most a look-back before its hit; another hit of that impression lies as far before or after.
         keys = routed.webhits.select(*KEY).distinct()
-        known = (
+        known = stage(
             self.impressions(spark)
-            .where(in_reach & (F.col("batch_id") <= batch_id))
-            .join(keys, list(KEY), "left_semi")
+            .where(F.col("event_date").isin(_around(hit_days, LOOKBACK_DAYS, 0)) & (F.col("batch_id") <= batch_id))
+            .join(keys, list(KEY), "left_semi"),
+            "known-impressions",
         )
-        stored = self.accepted(spark).where(in_reach & (F.col("batch_id") < batch_id))
+        near = F.col("event_date").isin(_around(hit_days, LOOKBACK_DAYS, LOOKBACK_DAYS))
+        stored = self.accepted(spark).where(near & (F.col("batch_id") < batch_id))
         fresh = accepted_hits(Routed(known, routed.webhits), stored=stored)
         write_batch(fresh.select(*_ACCEPTED.fieldNames()), f"{self.root}/webhits", batch_id)
 

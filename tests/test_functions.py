@@ -24,6 +24,8 @@ QUERIES = [
 ]
 
 STAMPS = [
+    "20240101", "20250511T000018+1200", "2025-05-11T00:00:18+12", "2025-05-11T00:00:18,5", "20250511T0000", "20250511T00",
+    "20250511 000018.25Z", "2025-05-11T000018-0330", "2025051", "20251301", "2025-05-1100",
     "2025-05-11T00:00:18+12:00", "now", "2025", "2025-05", "epoch", "2025-05-11", "2025-05-11T00", "2025-02-30",
     "2025-05-11 01:02", "0000-01-01", "2025-05-11T25:00:00", "2025-05-11T00:00:18.5Z", "2025-05-11T00:00:18+99:00",
     "2025-05-11T00:00:18\n", "2025-05-11T00:00:18 Europe/Paris", "",
