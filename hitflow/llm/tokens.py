@@ -16,8 +16,10 @@ gives an empty one. The ids of any other tokeniser must lie below 65535.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,14 @@ from hitflow.sources.staging import new_location
 END = 1
 # Ids of one segment, coded at once.
 SEGMENT = 1 << 22
-MAX_CACHE = 500_000
+# Words, and parts of words, that a Python worker keeps before it starts anew; a bound on memory only.
+MAX_CACHE = 600_000
 
 STORED = "shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 DECODED = "shard int, segment int, nth bigint, doc_id bigint, within bigint, n_tokens bigint, ids_crc32 bigint"
 
-_OTHER_BLANKS = str.maketrans("\t\n\r\x0b\x0c", "     ")
+# Letters that lower-case one by one and are in composed form, then signs that the splitter takes as one piece.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*|]*)")
 
 
 class Encoder:
@@ -49,23 +53,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() >= coder.IDS:
             raise ValueError("the vocabulary does not fit into 16 bits")
-        self.known: dict[str, bytes] = {"": b""}
-
-    def words(self, text: str | None) -> list[str]:
-        return (text or "").translate(_OTHER_BLANKS).split(" ") if text else []
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.words(text) for text in texts]
-        fresh = list({word for words in split for word in words if word not in self.known})
+        # bytes.split splits at ASCII white space only.
+        split = [(text or "").encode("utf-8").split() for text in texts]
+        fresh = {word for words in split for word in words if word not in self.known}
         if len(self.known) + len(fresh) > MAX_CACHE:
-            self.known = {"": b""}
-            fresh = list({word for words in split for word in words if word})
-        for start in range(0, len(fresh), 10_000):
-            part = fresh[start : start + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u2").tobytes()
+            self.known.clear()
+            fresh = {word for words in split for word in words}
+        self._learn(fresh)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
+    def _learn(self, fresh: set[bytes]) -> None:
+        """Words differ by case and signs far more than by letters, so both halves are remembered for themselves."""
+        halves = {}
+        for word in fresh:
+            text = word.decode("utf-8")
+            simple = _SIMPLE.fullmatch(text)
+            halves[word] = (simple[1].lower(), simple[2]) if simple else (text, "")
+        wanted = {half for pair in halves.values() for half in pair}
+        if len(self.parts) > MAX_CACHE:
+            self.parts = {"": b""}
+        unknown = [half for half in wanted if half not in self.parts]
+        for start in range(0, len(unknown), 10_000):
+            part = unknown[start : start + 10_000]
+            for half, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.parts[half] = np.array(found.ids, "<u2").tobytes()
+        for word, (letters, signs) in halves.items():
+            self.known[word] = self.parts[letters] + self.parts[signs]
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for each Python worker; later tasks of the worker find its words known."""
+    return Encoder(path)
+
 
 def write(docs: DataFrame, path: str, tokenizer: str, shards: int) -> None:
     """Write doc_id and text of ``docs`` as segments below ``path``; ``tokenizer`` is a file on every executor."""
@@ -75,7 +99,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, shards: int) -> None:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         ids: list[bytes] = []
         names: list[int | None] = []
         lengths: list[int] = []
