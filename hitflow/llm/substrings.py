@@ -37,7 +37,7 @@ from hitflow.sources.staging import stage
 
 WINDOW, GRAM = 50, 8
 # Contexts of one subtree that one task builds in memory, and words of one batch of subtrees.
-SUBTREE = 2_000
+SUBTREE = 8_000
 BATCH_WORDS = 400_000
 
 _INVERSE = np.uint64(pow(int(words._BASE), -1, 1 << 64))
@@ -289,10 +289,8 @@ def remove_repeats(docs: DataFrame, subtree: int = SUBTREE, with_text: bool = Fa
         _subtrees(_contexts(placed.select("doc_id", "row", "text", small.alias("spots"))), partitions)
     )
     if not members.where(F.col("size") > subtree).isEmpty():
-        windows = stage(
-            _windows(_contexts(placed.select("doc_id", "row", "text", large.alias("spots")).where("size(spots) > 0"))),
-            "substring-windows",
-        )
+        # Not written: as part of one query, both uses of it share the one shuffle of the texts.
+        windows = _windows(_contexts(placed.select("doc_id", "row", "text", large.alias("spots")).where("size(spots) > 0")))
         lowest = windows.groupBy("d1", "d2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("_high")).where("low < _high")
         again = windows.join(lowest, ["d1", "d2"]).where("doc_id > low")
         spans = spans.unionByName(again.select("doc_id", "row", F.col("start").alias("first"), F.expr(f"start + {WINDOW}").alias("end")))
