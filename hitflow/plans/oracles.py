@@ -309,6 +309,9 @@ SELECT host, concat('/var/log/edge/', file) AS path, max(ingest_time) AS mtime F
 QUALIFY row_number() OVER (PARTITION BY host ORDER BY max(ingest_time) DESC) = 1""",
 }
 # The stream of accepted hits must equal the batch result.
+ORACLES["attribute_causal_split"] = ORACLES["attribute_causal"]
+ORACLES["attribute_unbounded_split"] = ORACLES["attribute_unbounded"]
+ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_accepted_webhits"] = ORACLES["accepted_webhits"]
 ORACLES["stream_route"] = f"""WITH {PARAMETERS}
 SELECT CASE category WHEN 'impression' THEN 'impressions_queue' ELSE 'webhits_queue' END AS queue, host, line_num, path,

@@ -242,6 +242,20 @@ def attribute_causal(spark, sf_dir):
     return attribute.attribute_last_touch(routed.webhits, routed.impressions)
 
 
+@query
+def attribute_causal_split(spark, sf_dir):
+    """Causal attribution with almost every key treated as heavy, so that all of them are cut into slices."""
+    routed = _routed(spark, sf_dir)
+    return attribute.attribute_last_touch(routed.webhits, routed.impressions, heavy_rows=2)
+
+
+@query
+def attribute_unbounded_split(spark, sf_dir):
+    """Unbounded attribution with almost every key treated as heavy and spread over parts."""
+    routed = _routed(spark, sf_dir)
+    return attribute.attribute_last_touch(routed.webhits, routed.impressions, causal=False, heavy_rows=2)
+
+
 @query
 def attribute_unbounded(spark, sf_dir):
     routed = _routed(spark, sf_dir)
@@ -557,6 +571,16 @@ def stream_bridge(spark, sf_dir):
     )
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    """Lines that cannot be used, with the reason, kept by a stream."""
+    out, checkpoint = new_location(spark, "rejects"), new_location(spark, "rejects-checkpoint")
+    rejected = classify.rejects_of(pipeline.touches_of(_event_stream(spark, sf_dir)))
+    writer = rejected.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    _drained(queues.run(writer, True, ""))
+    return spark.read.schema(rejected.schema).parquet(out)
+
+
 @query
 def stream_accepted_webhits(spark, sf_dir):
     """The flagship as a stream over stored tables."""
