@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hitflow.llm import chat, extract, licenses, mixing, near, quality, secrets, substrings, tiling, tokens
+from hitflow.llm import byterepeats, chat, extract, licenses, mixing, near, periods, quality, secrets, substrings, tiling, tokens, trie
 from hitflow.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,25 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else."""
+    return byterepeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, with the sums of its subtree."""
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal periodic runs of words of every document, and what is left without their repetitions."""
+    return periods.digests(periods.find_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
 LLM_ORACLES: dict[str, str] = {
     "op2_chat_formatting": chat.COLLAPSE_SQL,
+    "op12_prefix_trie": trie.TRIE_SQL,
 }
