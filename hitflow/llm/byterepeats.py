@@ -116,7 +116,7 @@ _CONTEXT_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa
 
 
 def _contexts(placed: DataFrame) -> DataFrame:
-    """Bytes of the contexts listed in ``spots`` of (id, row, text, spots)."""
+    """Bytes of the contexts listed in ``spots`` of (id, row, text, spots, ...)."""
     names = ["key", "id", "row", "first", "repeats", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,11 +246,12 @@ def remove_repeats(docs: DataFrame, group: int = GROUP, with_bytes: bool = False
     )
     texts = known.repartition(partitions, "id", "row")
     placed = texts.join(spots, ["id", "row"])
-    few = placed.select("id", "row", "text", F.filter("all_spots", lambda s: s["size"] <= group).alias("spots"))
+    # All columns of ``texts`` are kept, so that its one shuffle serves here and below.
+    few = placed.select("id", "row", "text", F.filter("all_spots", lambda s: s["size"] <= group).alias("spots"), "doc_id")
     spans = whole.unionByName(_indexed(_contexts(few), partitions))
     if not members.where(F.col("size") > group).isEmpty():
         # Not written: as part of one query, both uses of it share the one shuffle of the texts.
-        many = placed.select("id", "row", "text", F.filter("all_spots", lambda s: s["size"] > group).alias("spots"))
+        many = placed.select("id", "row", "text", F.filter("all_spots", lambda s: s["size"] > group).alias("spots"), "doc_id")
         strings = _strings(_contexts(many.where("size(spots) > 0")))
         twice = strings.groupBy("d1", "d2").agg(F.count("*").alias("_times")).where("_times > 1")
         again = strings.where("not repeats").join(twice, ["d1", "d2"])
