@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hitflow.functions.sortkey import id_of, pair_key, pair_of, time_of
 from hitflow.functions.times import days, wall_seconds
 from hitflow.operators import skew
 
@@ -29,9 +30,9 @@ DAY = 86_400
 
 def latest_impression_per_key(impressions: DataFrame) -> DataFrame:
     """Newest impression of every (client, address); ties go to the higher id."""
-    newest = impressions.groupBy(*KEY).agg(F.max(F.struct("event_time", "id")).alias("m"))
+    newest = impressions.groupBy(*KEY).agg(F.max(pair_key(F.col("event_time"), F.col("id"))).alias("m"))
     return newest.select(
-        *KEY, F.col("m.id").alias("impression_id"), F.col("m.event_time").alias("impression_time")
+        *KEY, id_of(F.col("m")).alias("impression_id"), time_of(F.col("m")).alias("impression_time")
     )
 
 
@@ -99,8 +100,9 @@ def attribute_by_arrival(
     touches = _tiers(impressions, archive, ["arrival", "arrived_at"])
     processed = F.struct("arrival", "arrived_at", "event_time", "id")
     known = touches.groupBy(*KEY).agg(
-        F.max(F.when(F.col("_is_hot"), processed)).alias("_last"), *_newest_per_tier()
+        F.max(F.when(F.col("_is_hot"), processed)).alias("_last"), *_newest_keys()
     )
+    known = _with_pairs(known)
     heavy = skew.find_heavy_keys(hits, KEY, heavy_rows)
     joined = skew.join_spread(hits, known, KEY, "inner", heavy, F.col("id"), heavy_rows)
     alive = F.col("_last.arrived_at") > F.col("arrived_at") - days(lookback_days)
@@ -137,13 +139,19 @@ def _in_tier(hot: bool) -> Column:
     return F.when(F.col("_is_hot") == hot, F.struct("event_time", "id"))
 
 
-def _newest_per_tier() -> list[Column]:
-    return [F.max(_in_tier(True)).alias("_hot"), F.max(_in_tier(False)).alias("_old")]
+def _newest_keys() -> list[Column]:
+    """Newest (time, id) of either tier as numbers, which a hash table aggregates in place."""
+    key = pair_key(F.col("event_time"), F.col("id"))
+    return [F.max(F.when(F.col("_is_hot") == hot, key)).alias(name) for name, hot in (("_hot", True), ("_old", False))]
+
+
+def _with_pairs(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: pair_of(F.col(name)) for name in ("_hot", "_old")})
 
 
 def _newest_overall(hits: DataFrame, touches: DataFrame, heavy_rows: int) -> DataFrame:
     # No range join: if the newest impression misses the bound, every other one does too.
-    newest = touches.groupBy(*KEY).agg(*_newest_per_tier())
+    newest = _with_pairs(touches.groupBy(*KEY).agg(*_newest_keys()))
     heavy = skew.find_heavy_keys(hits, KEY, heavy_rows)
     return skew.join_spread(hits, newest, KEY, "left", heavy, F.col("id"), heavy_rows)
 
@@ -153,21 +161,18 @@ def _newest_before(
 ) -> DataFrame:
     """Running newest impression over each key, in one shuffle of both sides.
 
-    Heavy keys are cut into time slices; each slice starts from the newest impression of the slices
-    before it, so no task ever holds a whole heavy key.
+    For heavy keys it is a prefix scan in two levels: within time slices, and over one summary row per slice,
+    from which each slice learns the newest impression before it. No task holds a whole heavy key.
     """
     timed = touches.select(*KEY, "event_time").unionByName(hits.select(*KEY, "event_time"))
     heavy = skew.find_heavy_keys(timed, KEY, heavy_rows)
-    visits = hits.withColumn("_is_hot", F.lit(None).cast("boolean"))
-    rows = touches.unionByName(visits, allowMissingColumns=True)
     if heavy is None:
-        key = list(KEY)
+        key, visits = list(KEY), hits
     else:
-        key = [*KEY, "_slice"]
-        longest = lookback_days * DAY
-        widths = F.broadcast(skew.slice_widths(timed, "event_time", heavy, longest, heavy_rows))
-        carried = _carried_forward(_sliced(touches, widths), longest)
-        rows = _sliced(rows, widths).unionByName(carried, allowMissingColumns=True)
+        key = [*KEY, "_slice", "_part"]
+        widths = skew.slice_widths(timed, "event_time", heavy, lookback_days * DAY, heavy_rows)
+        visits, touches = _in_slices(_sliced(hits, widths), _sliced(touches, widths), heavy_rows)
+    rows = touches.unionByName(visits.withColumn("_is_hot", F.lit(None).cast("boolean")), allowMissingColumns=True)
     order = W.partitionBy(*key).orderBy("event_time", F.col("_is_hot").isNull(), "id")
     so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumns({
@@ -178,25 +183,33 @@ def _newest_before(
 
 
 def _sliced(rows: DataFrame, widths: DataFrame) -> DataFrame:
+    """Rows with ``_slice``; rows of keys that are not heavy have no width and are in slice 0."""
     number = F.floor(wall_seconds(F.col("event_time")) / F.col("_width"))
     return rows.join(widths, list(KEY), "left").withColumn("_slice", F.coalesce(number, F.lit(0)))
 
 
-def _carried_forward(impressions: DataFrame, longest: int) -> DataFrame:
-    """Newest impression of each slice of a heavy key, repeated in the later slices it can matter to.
+def _in_slices(hits: DataFrame, touches: DataFrame, heavy_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt over slices and parts, with what each slice of a heavy key must know of earlier ones.
 
-    That is up to the next slice with an impression of the same tier, and no further than the look-back.
+    Impressions of one stamp are reduced to the one that counts. A slice cannot be shorter than a second, so one that
+    still holds many hits (all on one stamp, say) deals them over parts, each with the slice's impressions.
     """
-    tier = [*KEY, "_is_hot", "_width"]
-    newest = (
-        impressions.where(F.col("_width").isNotNull())
-        .groupBy(*tier, "_slice")
-        .agg(F.max(F.struct("event_time", "id")).alias("_m"))
+    cut, place = F.col("_width").isNotNull(), [*KEY, "_slice"]
+    light = touches.where(~cut).select(*place, "event_time", "id", "_is_hot")
+    stamps = touches.where(cut).groupBy(*place, "event_time", "_is_hot").agg(F.max("id").alias("id"))
+    summaries = touches.where(cut).groupBy(*place).agg(*_newest_keys())
+    visited = hits.where(cut).select(*place).distinct().withColumn("_visited", F.lit(True))
+    earlier = W.partitionBy(*KEY).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    known = summaries.join(visited, place, "full").select(
+        *place, "_visited", *(F.last(tier, ignorenulls=True).over(earlier).alias(tier) for tier in ("_hot", "_old"))
     )
-    following = F.lead("_slice").over(W.partitionBy(*tier).orderBy("_slice"))
-    reach = F.col("_slice") + F.ceil(F.lit(longest) / F.col("_width"))
-    reaching = newest.withColumn("_next", following).withColumn(
-        "_last", F.least(F.coalesce("_next", reach), reach)
+    tiers = F.array(*(F.struct(F.lit(hot).alias("_is_hot"), F.col(name).alias("_m")) for name, hot in (("_hot", True), ("_old", False))))
+    carried = (
+        known.where("_visited")
+        .select(*place, F.inline(tiers))
+        .where(F.col("_m").isNotNull())
+        .select(*place, time_of(F.col("_m")).alias("event_time"), id_of(F.col("_m")).alias("id"), "_is_hot")
     )
-    later = F.explode(F.sequence(F.col("_slice") + 1, F.col("_last")))
-    return reaching.select(*tier, "_m.*", later.alias("_slice"))
+    crowded = skew.find_heavy_keys(hits.where(cut), place, heavy_rows)
+    shared = light.unionByName(stamps).unionByName(carried)
+    return skew.spread(hits, shared, crowded, F.col("id"), heavy_rows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hitflow.functions.times import days, wall_seconds
 from hitflow.operators import skew
 from hitflow.operators.attribute import DAY, KEY, LOOKBACK_DAYS
-from hitflow.sources.staging import new_location, stage
+from hitflow.sources.staging import stage
 
 PAIR = ("impression_id", "site_id")
 
@@ -19,9 +19,11 @@ def dedupe_first(hits: DataFrame) -> DataFrame:
 
     Exact for causal attribution, where all hits of an impression lie within one look-back. Spark keeps
     only the first row of a pair on the map side, so a heavy pair shuffles one row per task. An impression
-    belongs to one client and address; with them in front, rows that attribution has dealt by these stay put.
+    belongs to one client and address; with them in front, where the hits have them, rows that attribution has
+    dealt by these stay put.
     """
-    order = W.partitionBy(*KEY, *PAIR).orderBy("event_time", "id")
+    group = [*(c for c in KEY if c in hits.columns), *PAIR]
+    order = W.partitionBy(*group).orderBy("event_time", "id")
     return hits.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1).drop("_n")
 
 
@@ -59,35 +61,73 @@ def drop_seen(
     return left.select(*hits.columns)
 
 
-def dedupe_greedy(
-    hits: DataFrame, gap_days: int = LOOKBACK_DAYS, heavy_rows: int = skew.MIN_ROWS
-) -> DataFrame:
+def dedupe_greedy(hits: DataFrame, gap_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Keep a hit unless a kept one of the same pair lies within the gap before it.
 
-    Kept hits of a pair are at least one gap apart, so a time slice as long as the gap keeps at most one
-    of them, and only the one kept in the slice just before can rule it out. Slices are therefore worked
-    off in time order: every row is read once, each step joins it with at most one row per pair, and the
-    number of steps depends on the time span alone.
+    Kept hits of a pair form a chain: its first hit, then always the next one at or beyond the gap. Every stamp of a
+    pair gets a pointer to that next stamp, pointers are doubled, and the chain grows from its head to twice its
+    length in every step, so the number of steps is the logarithm of the time span in gaps. Pairs that last
+    less than a gap (all of them, under causal attribution) need no pointers.
+
+    Stamps are reduced to one row before they are sorted, and sorted within an hour of a pair, so that no task
+    holds a whole pair, however heavy. Hits must have a time; the smallest id is kept where stamps tie.
+    """
+    seconds = gap_days * DAY
+    hits = stage(hits, "greedy-hits")
+    stamps = stage(hits.groupBy(*PAIR, "event_time").agg(F.min("id").alias("id")), "greedy-stamps")
+    spans = stamps.groupBy(*PAIR).agg(F.min("event_time").alias("_head"), F.max("event_time").alias("_tail"))
+    spans = stage(spans, "greedy-spans")
+    long_lived = F.col("_tail") >= F.col("_head") + days(gap_days)
+    heads = spans.select(*PAIR, F.col("_head").alias("event_time"))
+    reach = F.max(wall_seconds(F.col("_tail")) - wall_seconds(F.col("_head")))
+    longest = spans.where(long_lived).agg(reach).head()[0]
+    if longest is None:
+        chain = heads
+    else:
+        lasting = spans.where(long_lived)
+        own = stamps.join(lasting.select(*PAIR), list(PAIR), "left_semi")
+        pointers = stage(_next_beyond(own, gap_days), "greedy-pointers")
+        chain = stage(lasting.select(*PAIR, F.col("_head").alias("event_time")), "greedy-chain")
+        covered = 1
+        while covered <= longest // seconds:
+            chain = stage(chain.unionByName(_followed(chain, pointers)), "greedy-chain")
+            covered *= 2
+            if covered <= longest // seconds:
+                further = pointers.select(*PAIR, F.col("event_time").alias("_next"), F.col("_next").alias("_then"))
+                pointers = stage(
+                    pointers.join(further, [*PAIR, "_next"]).select(*PAIR, "event_time", F.col("_then").alias("_next")),
+                    "greedy-pointers",
+                )
+        chain = chain.unionByName(heads.join(lasting.select(*PAIR), list(PAIR), "left_anti"))
+    kept = stamps.join(chain, [*PAIR, "event_time"], "left_semi").select(*PAIR, "event_time", "id")
+    # Rows of one pair, stamp and id are equal in what decides; one of them stays.
+    chosen = hits.join(kept, [*PAIR, "event_time", "id"], "left_semi")
+    return chosen.dropDuplicates([*PAIR, "event_time", "id"]).select(*hits.columns)
+
+
+def _next_beyond(stamps: DataFrame, gap_days: int) -> DataFrame:
+    """For every stamp of a pair the first one at least the gap later, as ``_next``, where there is one.
+
+    A copy of each stamp, moved by the gap, is sorted in among the stamps of the hour it falls into. If none there is
+    at or behind it, the next hour of the pair that has any gives its first.
     """
-    spark = hits.sparkSession
-    length = gap_days * DAY
-    sliced = hits.withColumn("slice_no", F.floor(wall_seconds(F.col("event_time")) / length).cast("int"))
-    rows = stage(sliced, "greedy-rows", ["slice_no"])
-    heavy = skew.find_heavy_keys(rows, PAIR, heavy_rows)
-    numbers = [r[0] for r in rows.select("slice_no").distinct().orderBy("slice_no").collect()]
-    kept_at = new_location(spark, "greedy-kept")
-    kept_schema = rows.select(*hits.columns).schema
-    previous = None
-    for number in numbers:
-        current = rows.where(F.col("slice_no") == number).drop("slice_no")
-        if previous == number - 1:
-            before = spark.read.schema(kept_schema).parquet(f"{kept_at}/slice_no={previous}")
-            last = before.select(*PAIR, F.col("event_time").alias("_last"))
-            current = skew.join_spread(current, last, PAIR, "left", heavy, F.col("id"), heavy_rows)
-            free = F.col("_last").isNull() | (F.col("_last") <= F.col("event_time") - days(gap_days))
-            current = current.where(free).drop("_last")
-        dedupe_first(current).write.mode("overwrite").parquet(f"{kept_at}/slice_no={number}")
-        previous = number
-    if previous is None:
-        return rows.drop("slice_no")
-    return spark.read.schema(kept_schema).parquet(kept_at + "/slice_no=*")
+    hour = F.floor(wall_seconds(F.col("event_time")) / skew.HOUR)
+    real = stamps.select(*PAIR, hour.alias("_hour"), "event_time", F.lit(None).cast("timestamp_ntz").alias("_from"))
+    moved = stamps.select(*PAIR, "event_time").select(
+        *PAIR, (F.col("event_time") + days(gap_days)).alias("event_time"), F.col("event_time").alias("_from")
+    )
+    rows = real.unionByName(moved.withColumn("_hour", hour))
+    # At one time the stamp comes behind the copy, which therefore finds it.
+    order = W.partitionBy(*PAIR, "_hour").orderBy("event_time", F.col("_from").isNull())
+    stamp = F.when(F.col("_from").isNull(), F.col("event_time"))
+    within = F.first(stamp, ignorenulls=True).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
+    hours = rows.groupBy(*PAIR, "_hour").agg(F.min(stamp).alias("_first"))
+    later = W.partitionBy(*PAIR).orderBy("_hour").rowsBetween(1, W.unboundedFollowing)
+    hours = hours.select(*PAIR, "_hour", F.first("_first", ignorenulls=True).over(later).alias("_behind"))
+    found = rows.withColumn("_within", within).where(F.col("_from").isNotNull()).join(hours, [*PAIR, "_hour"])
+    pointed = found.select(*PAIR, F.col("_from").alias("event_time"), F.coalesce("_within", "_behind").alias("_next"))
+    return pointed.where(F.col("_next").isNotNull())
+
+
+def _followed(chain: DataFrame, pointers: DataFrame) -> DataFrame:
+    return chain.join(pointers, [*PAIR, "event_time"]).select(*PAIR, F.col("_next").alias("event_time"))

@@ -14,40 +14,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitflow.functions.times import wall_seconds
+from hitflow.sources.staging import stage
 
 # A key below this many rows is left in one task.
 MIN_ROWS = 2_000_000
-# At most this many keys are treated as heavy, the largest first, so the list that is broadcast has a
-# fixed bound. A key that misses the list holds less than 1/MAX_KEYS of all rows.
-MAX_KEYS = 10_000
+# A list of up to this many keys is sent to all tasks; a longer one is a written table, joined as any other.
+LISTED_KEYS = 50_000
 
 HOUR = 3600
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Heavy keys with the number of rows each holds."""
+    """All heavy keys with the number of rows each holds."""
 
     keys: tuple[str, ...]
     table: DataFrame
+    listed: bool
+
+    def beside(self, table: DataFrame) -> DataFrame:
+        """A table with one row per heavy key, marked for sending to all tasks where the list is short."""
+        return F.broadcast(table) if self.listed else table
 
     def split_into(self, rows_per_part: int) -> DataFrame:
         parts = F.ceil(F.col("_rows") / F.lit(rows_per_part)).cast("int")
-        return self.table.select(*self.keys, parts.alias("_parts"))
-
-
-def _local_table(rows: list, template: DataFrame) -> DataFrame:
-    return template.sparkSession.createDataFrame(rows, template.schema)
+        return self.beside(self.table.select(*self.keys, parts.alias("_parts")))
 
 
 def find_heavy_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, max_keys: int = MAX_KEYS
+    df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, listed_keys: int = LISTED_KEYS
 ) -> HeavyKeys | None:
-    """Keys holding more than ``min_rows`` rows, or None. Runs one aggregation over the key columns."""
+    """All keys holding more than ``min_rows`` rows, or None. Runs one aggregation over the key columns.
+
+    A longer list than ``listed_keys`` never reaches the driver.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > min_rows)
-    top = counts.orderBy(F.desc("_rows"), *keys).limit(max_keys)
-    rows = top.collect()
-    return HeavyKeys(tuple(keys), _local_table(rows, top)) if rows else None
+    rows = counts.limit(listed_keys + 1).collect()
+    if not rows:
+        return None
+    if len(rows) <= listed_keys:
+        return HeavyKeys(tuple(keys), df.sparkSession.createDataFrame(rows, counts.schema), True)
+    return HeavyKeys(tuple(keys), stage(counts, "heavy-keys"), False)
+
+
+def spread(
+    many: DataFrame, few: DataFrame, heavy: HeavyKeys | None, spread_by: Column, rows_per_part: int = MIN_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_part``: rows of a heavy key on the first side are dealt over its parts by
+    ``spread_by``, those on the second are repeated in each. A row of any other key is in part 0."""
+    if heavy is None:
+        return many.withColumn("_part", F.lit(0)), few.withColumn("_part", F.lit(0))
+    parts, keys = heavy.split_into(rows_per_part), list(heavy.keys)
+    count = F.coalesce("_parts", F.lit(1))
+    dealt = many.join(parts, keys, "left").withColumn("_part", F.pmod(F.xxhash64(spread_by), count).cast("int"))
+    repeated = few.join(parts, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1)))
+    return dealt.drop("_parts"), repeated.drop("_parts")
 
 
 def join_spread(
@@ -66,16 +87,8 @@ def join_spread(
     """
     if heavy is None:
         return left.join(right, list(keys), how)
-    parts = F.broadcast(heavy.split_into(rows_per_part))
-    count = F.coalesce("_parts", F.lit(1))
-    part = F.pmod(F.xxhash64(spread_by), count).cast("int")
-    left = left.join(parts, list(keys), "left").withColumn("_part", part).drop("_parts")
-    right = (
-        right.join(parts, list(keys), "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1)))
-        .drop("_parts")
-    )
-    return left.join(right, [*keys, "_part"], how).drop("_part")
+    dealt, repeated = spread(left, right, heavy, spread_by, rows_per_part)
+    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")
 
 
 def slice_widths(
@@ -83,7 +96,7 @@ def slice_widths(
 ) -> DataFrame:
     """Seconds per time slice for each heavy key, so its busiest hour yields slices of the wanted size."""
     hourly = (
-        rows.join(F.broadcast(heavy.table.select(*heavy.keys)), list(heavy.keys), "left_semi")
+        rows.join(heavy.beside(heavy.table.select(*heavy.keys)), list(heavy.keys), "left_semi")
         .groupBy(*heavy.keys, F.floor(wall_seconds(F.col(time)) / HOUR).alias("_hour"))
         .agg(F.count("*").alias("_n"))
     )
@@ -91,5 +104,4 @@ def slice_widths(
     widths = hourly.groupBy(*heavy.keys).agg(
         F.greatest(F.lit(1), F.least(width, F.lit(longest))).cast("bigint").alias("_width")
     )
-    # One row per heavy key, so at most MAX_KEYS rows reach the driver.
-    return _local_table(widths.collect(), widths)
+    return heavy.beside(stage(widths, "slice-widths"))

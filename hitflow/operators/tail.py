@@ -27,8 +27,8 @@ def rotation_events(polls: DataFrame) -> DataFrame:
 def latest_rotated_file(files: DataFrame, marker: str = ".log-") -> DataFrame:
     """Newest rotated file of every host."""
     rotated = files.where(F.contains("path", F.lit(marker)))
-    newest = rotated.groupBy("host").agg(F.max(F.struct("mtime", "path")).alias("m"))
-    return newest.select("host", F.col("m.path").alias("path"), F.col("m.mtime").alias("mtime"))
+    order = W.partitionBy("host").orderBy(F.desc("mtime"), F.desc("path"))
+    return rotated.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("host", "path", "mtime")
 
 
 def fetch_lines(lines: DataFrame, host: str, file: str, start: int, end: int | None = None) -> DataFrame:
@@ -62,8 +62,10 @@ def tail_state(lines: DataFrame, first_lines: DataFrame) -> DataFrame:
 
     ``first_lines`` has host, file and first_line_hash, one row per file.
     """
-    last = lines.groupBy("host").agg(F.max(F.struct("file", "line_num")).alias("m"))
-    reached = last.select("host", F.col("m.file").alias("file"), F.col("m.line_num").alias("last_line_num"))
+    # Lines are reduced to one number per file in a hash table; only files are ordered by name.
+    ends = lines.groupBy("host", "file").agg(F.max("line_num").alias("last_line_num"))
+    newest = W.partitionBy("host").orderBy(F.desc("file"))
+    reached = ends.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
     return reached.join(first_lines, ["host", "file"], "left").select(
         "host", "file", "last_line_num", "first_line_hash"
     )
@@ -74,6 +76,12 @@ def save_tail_state(state: DataFrame, reached: DataFrame) -> DataFrame:
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
-    """Fingerprint of the first line of every file."""
-    first = lines.groupBy("host", "file").agg(F.min(F.struct("line_num", "raw")).alias("m"))
-    return first.select("host", "file", F.sha2(F.col("m.raw"), 256).alias("first_line_hash"))
+    """Fingerprint of the first line of every file; of lines with one number, of the smallest text.
+
+    The number is found without the text, which is then read for the first lines alone.
+    """
+    starts = lines.groupBy("host", "file").agg(F.min("line_num").alias("line_num"))
+    first = lines.select("host", "file", "line_num", "raw").join(starts, ["host", "file", "line_num"])
+    order = W.partitionBy("host", "file").orderBy("raw")
+    single = first.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return single.select("host", "file", F.sha2("raw", 256).alias("first_line_hash"))

@@ -313,6 +313,14 @@ ORACLES["attribute_causal_split"] = ORACLES["attribute_causal"]
 ORACLES["attribute_unbounded_split"] = ORACLES["attribute_unbounded"]
 ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_accepted_webhits"] = ORACLES["accepted_webhits"]
+ORACLES["stream_unattributed"] = ORACLES["unattributed_hits"]
+ORACLES["stream_consume_queues"] = ORACLES["accepted_webhits"]
+ORACLES["stream_consume_rejects"] = f"""WITH {TOUCHES}
+SELECT CASE category WHEN 'impression' THEN 'impressions_queue' ELSE 'webhits_queue' END AS queue, id, reject_reason AS reason
+FROM touches WHERE category IS NOT NULL AND reject_reason IS NOT NULL
+UNION ALL SELECT 'webhits_queue', NULL, 'bad_json' FROM touches WHERE category = 'webhit' AND id % 5 = 0"""
+ORACLES["stream_replayed_lines"] = f"""WITH {TOUCHES}
+SELECT id, event_time, client_id, booking_id, creative_id, ip FROM imps"""
 ORACLES["stream_route"] = f"""WITH {PARAMETERS}
 SELECT CASE category WHEN 'impression' THEN 'impressions_queue' ELSE 'webhits_queue' END AS queue, host, line_num, path,
        "timestamp", client_ip, client, booking, creative, site FROM params WHERE category IS NOT NULL"""

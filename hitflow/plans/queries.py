@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from hitflow.functions import messages, netaddr, text, times
 from hitflow.operators import (
@@ -28,7 +29,7 @@ from hitflow.plans.workload import lines_from_events, load, load_lines
 from hitflow.schemas import ENTRY, ENVELOPE, PROCESSING_STATE
 from hitflow.session import state_store
 from hitflow.sources.staging import new_location
-from hitflow.streaming import attribution, queues, stateful
+from hitflow.streaming import attribution, consumers, queues, replays, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -589,6 +590,61 @@ def stream_accepted_webhits(spark, sf_dir):
     return attribution.AttributionTables(root).accepted(spark).drop("event_date", "batch_id")
 
 
+@query
+def stream_unattributed(spark, sf_dir):
+    """Hits without an impression, kept by the stream beside the accepted ones."""
+    root, checkpoint = new_location(spark, "tables"), new_location(spark, "tables-checkpoint")
+    _drained(attribution.attribution_stream(_event_stream(spark, sf_dir), root, checkpoint))
+    return attribution.AttributionTables(root).unattributed(spark).drop("event_date", "batch_id")
+
+
+def _consumed(spark, sf_dir):
+    """Three times a third of the lines arrives, is routed and consumed; every fifth hit is also delivered cut short."""
+    inbox, out, root = (new_location(spark, name) for name in ("inbox", "queues", "consumed"))
+    routing, consuming = new_location(spark, "queues-checkpoint"), new_location(spark, "consumed-checkpoint")
+    carried = StructType([StructField("id", LongType()), StructField("ingest_time", TimestampNTZType())])
+    tables = consumers.ConsumedTables(root, carried)
+    lines = load_lines(spark, sf_dir)
+    bounds = ["2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    for cycle, (start, end) in enumerate(zip(bounds, bounds[1:])):
+        arrived = lines.where(F.col("ingest_time").between(F.lit(start).cast("timestamp_ntz"), F.expr(f"timestamp_ntz'{end}' - interval 1 microsecond")))
+        arrived.write.parquet(f"{inbox}/cycle={cycle}")
+        waiting = spark.readStream.schema(lines.schema).parquet(f"{inbox}/cycle=*")
+        envelopes = parse.make_envelopes(waiting).select("value", "id", "ingest_time")
+        _drained(queues.route_stream(envelopes, out, routing, also=("id", "ingest_time")))
+        hits = spark.read.text(f"{out}/queue={queues.WEBHIT_QUEUE}").withColumn("_m", messages.read_message(F.col("value"), carried))
+        damaged = hits.where((F.col("_m.id") % 5 == 0) & F.col("_m.ingest_time").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+        damaged.select(F.substring("value", 1, 20).alias("value")).write.mode("append").text(f"{out}/queue={queues.WEBHIT_QUEUE}")
+        _drained(consumers.consume_stream(consumers.queued_messages(spark, out), tables, consuming))
+    return tables
+
+
+@query
+def stream_consume_queues(spark, sf_dir):
+    """Accepted hits of a stream that reads both queues, over several micro-batches."""
+    return _consumed(spark, sf_dir).accepted(spark).drop("event_date", "batch_id")
+
+
+@query
+def stream_consume_rejects(spark, sf_dir):
+    """Messages of both queues that could not be used, with the reason."""
+    return _consumed(spark, sf_dir).rejects(spark).select("queue", "id", "reason")
+
+
+@query
+def stream_replayed_lines(spark, sf_dir):
+    """Impressions stored by a stream that gets every line twice, the second time in another order and later."""
+    folder = new_location(spark, "replayed")
+    lines = load_lines(spark, sf_dir)
+    for times in (3, 2):
+        lines.repartition(times, F.xxhash64("id", F.lit(times))).write.mode("append").parquet(folder)
+    root, checkpoint = new_location(spark, "tables"), new_location(spark, "tables-checkpoint")
+    again = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    with state_store(spark, drain=True):
+        _drained(attribution.attribution_stream(replays.once_only(again, horizon="60 days"), root, checkpoint))
+    return attribution.AttributionTables(root).impressions(spark).drop("event_date", "batch_id")
+
+
 @query
 def stream_stateful_attribution(spark, sf_dir):
     """Attribution by arrival with keyed state, over one micro-batch in event order."""

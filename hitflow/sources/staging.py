@@ -6,7 +6,10 @@ expensive input (such as raw text) while each reads only the columns it needs.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +21,29 @@ def new_location(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/hitflow/{name}-{uuid.uuid4().hex}"
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stage`` writes inside are removed at the end; nothing read later may depend on them."""
+    before = getattr(_scopes, "locations", None)
+    _scopes.locations = []
+    try:
+        yield
+    finally:
+        locations, _scopes.locations = _scopes.locations, before
+        for location in locations:
+            path = spark._jvm.org.apache.hadoop.fs.Path(location)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table once and read it back."""
     spark = df.sparkSession
     location = new_location(spark, name)
+    if getattr(_scopes, "locations", None) is not None:
+        _scopes.locations.append(location)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

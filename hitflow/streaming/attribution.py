@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hitflow.operators.attribute import KEY, LOOKBACK_DAYS
-from hitflow.plans.pipeline import Routed, accepted_hits, route_once
-from hitflow.sources.staging import stage
+from hitflow.operators.attribute import KEY, LOOKBACK_DAYS, attribute_last_touch
+from hitflow.operators.dedupe import dedupe_against_store, dedupe_first
+from hitflow.plans.pipeline import Routed, route_once
+from hitflow.sources.staging import scratch, stage
 from hitflow.sources.tables import read_batches, write_batch
 from hitflow.streaming.queues import run
 
@@ -27,12 +28,15 @@ _IMPRESSIONS = T.StructType([
     T.StructField("creative_id", T.IntegerType()),
     T.StructField("ip", T.StringType()),
 ])
-_ACCEPTED = T.StructType([
+_HITS = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("event_time", T.TimestampNTZType()),
     T.StructField("client_id", T.IntegerType()),
     T.StructField("site_id", T.IntegerType()),
     T.StructField("ip", T.StringType()),
+])
+_ACCEPTED = T.StructType([
+    *_HITS.fields,
     T.StructField("impression_id", T.LongType()),
     T.StructField("impression_time", T.TimestampNTZType()),
 ])
@@ -45,7 +49,7 @@ def _around(hit_days: list[date], before: int, after: int) -> list[date]:
 
 @dataclass(frozen=True)
 class AttributionTables:
-    """Folder that holds the impression table and the table of accepted hits."""
+    """Folder that holds the tables of impressions, of accepted hits and of hits without an impression."""
 
     root: str
 
@@ -55,11 +59,18 @@ class AttributionTables:
     def accepted(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, f"{self.root}/webhits", _ACCEPTED)
 
+    def unattributed(self, spark: SparkSession) -> DataFrame:
+        return read_batches(spark, f"{self.root}/unattributed", _HITS)
+
     def apply(self, lines: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch of lines (id, host, line_num, raw, ingest_time)."""
-        spark = lines.sparkSession
-        routed = route_once(lines)
-        write_batch(routed.impressions, f"{self.root}/impressions", batch_id)
+        with scratch(lines.sparkSession):
+            self.credit(route_once(lines), batch_id)
+
+    def credit(self, routed: Routed, batch_id: int) -> None:
+        """Store the impressions of one micro-batch, then credit its hits to these and all earlier ones."""
+        spark = routed.webhits.sparkSession
+        write_batch(routed.impressions.select(*_IMPRESSIONS.fieldNames()), f"{self.root}/impressions", batch_id)
         hit_days = [r[0] for r in routed.webhits.select(F.to_date("event_time")).distinct().collect()]
         if not hit_days:
             return
@@ -72,9 +83,13 @@ class AttributionTables:
             .join(keys, list(KEY), "left_semi"),
             "known-impressions",
         )
+        # Read by the hits without an impression, by the search for heavy pairs, and by the comparison with the store.
+        hits = stage(attribute_last_touch(routed.webhits, known, keep_unmatched=True), "attributed")
+        unmatched = hits.where(F.col("impression_id").isNull())
+        write_batch(unmatched.select(*_HITS.fieldNames()), f"{self.root}/unattributed", batch_id)
         near = F.col("event_date").isin(_around(hit_days, LOOKBACK_DAYS, LOOKBACK_DAYS))
         stored = self.accepted(spark).where(near & (F.col("batch_id") < batch_id))
-        fresh = accepted_hits(Routed(known, routed.webhits), stored=stored)
+        fresh = dedupe_first(dedupe_against_store(hits.where(F.col("impression_id").isNotNull()), stored))
         write_batch(fresh.select(*_ACCEPTED.fieldNames()), f"{self.root}/webhits", batch_id)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,10 +22,11 @@ def run(writer, once: bool, interval: str) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
-def routed_messages(envelopes: DataFrame, mode: str = LENIENT) -> DataFrame:
+def routed_messages(envelopes: DataFrame, mode: str = LENIENT, also: Sequence[str] = ()) -> DataFrame:
     """Envelopes as classified JSON messages with the queue each belongs to.
 
-    Lines that are unreadable, too short or not routed go to the reject queue as they came.
+    Lines that are unreadable, too short or not routed go to the reject queue as they came. Messages carry the
+    columns ``also`` of the envelopes as further fields.
     """
     df = classify(parse_lines(open_envelopes(envelopes)), mode)
     queue = (
@@ -34,7 +37,7 @@ def routed_messages(envelopes: DataFrame, mode: str = LENIENT) -> DataFrame:
     entry = F.to_json(
         F.struct(
             "timestamp", "edge_ip", "method", "path", "query_string", "status", "user_agent", "referer",
-            "client_ip", "host", "line_num", query_message().alias("query"),
+            "client_ip", "host", "line_num", query_message().alias("query"), *also,
         )
     )
     message = F.when(F.col("category").isNotNull(), entry).otherwise(F.col("value"))
@@ -42,11 +45,12 @@ def routed_messages(envelopes: DataFrame, mode: str = LENIENT) -> DataFrame:
 
 
 def route_stream(
-    envelopes: DataFrame, out: str, checkpoint: str, once: bool = True, interval: str = "1 second"
+    envelopes: DataFrame, out: str, checkpoint: str, once: bool = True, interval: str = "1 second",
+    also: Sequence[str] = (),
 ) -> StreamingQuery:
     """Raw envelopes to one folder of JSON messages per queue, in a single pass and exactly once."""
     writer = (
-        routed_messages(envelopes)
+        routed_messages(envelopes, also=also)
         .writeStream.format("text")
         .partitionBy("queue")
         .option("checkpointLocation", checkpoint)
