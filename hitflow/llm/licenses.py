@@ -8,7 +8,8 @@ Labels: those of all phrases found, and the ids of all valid expressions. Score:
 valid expression, 0.9 for a notice that grants something, 0.6 for the bare name of a licence, 0 for nothing.
 
 Defined cases: a null or empty text has no words, no places and score 0; a malformed expression counts as no
-evidence; repeated and overlapping phrases count at each place. Rows keep their doc_id, null or repeated.
+evidence; an expression of any length is read to its end or that of its line; repeated and overlapping phrases count at
+each place. Rows keep their doc_id, null or repeated.
 """
 
 from __future__ import annotations
@@ -48,21 +49,21 @@ NOTICES = {
 }
 TAGS = ("spdx license identifier", "license expression")
 BASE_SCORE = 0.9
-# Longest stretch behind a tag that is read as an expression, in characters.
-EXPRESSION = 200
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Bytes that are no part of a word become blanks.
 _WORDS = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in _LOWER)
-_TAG = re.compile(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier|license[^0-9a-z\x80-\xff]+expression")
-_TOKEN = re.compile(r"\s*(\(|\)|[a-z0-9][a-z0-9.+:-]*)")
+_TAG = re.compile(r"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier|license[^0-9a-z\x80-\xff]+expression")
+_LEAD = re.compile(r"[ \t:=\"']*")
+# An expression ends with its line.
+_TOKEN = re.compile(r"[ \t\r\f\v]*(\(|\)|[a-z0-9][a-z0-9.+:-]*)")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
-def parse(source: str) -> tuple | None:
-    """The tree of a licence expression as nested (operator, left, right) over ids; None if malformed.
+def parse(source: str, at: int = 0) -> tuple | str | None:
+    """The tree of the licence expression at ``at`` as nested (operator, left, right) over ids; None if malformed.
 
-    Reading stops before the first thing that cannot go on with the expression. ``with`` binds tightest and
+    Takes time in proportion to the expression, however long. Reading stops before the first thing that cannot go on with the expression. ``with`` binds tightest and
     joins a licence with an exception, then ``and``, then ``or``, all from the left.
     """
     output: list = []
@@ -79,7 +80,6 @@ def parse(source: str) -> tuple | None:
         output.append((operator, left, right))
         return True
 
-    at = 0
     while match := _TOKEN.match(source, at):
         token = match[1]
         if wants_operand:
@@ -129,6 +129,55 @@ def choices(tree) -> list[frozenset[str]]:
     return [s for s in sets if not any(other < s for other in sets)]
 
 
+def _ordered(tree) -> list:
+    """The nodes of a tree, each behind its parts; without recursion, as trees are as deep as expressions are long."""
+    nodes, waiting = [], [tree]
+    while waiting:
+        node = waiting.pop()
+        nodes.append(node)
+        if not isinstance(node, str) and node[0] != "with":
+            waiting += node[1:]
+    return nodes[::-1]
+
+
+def _name(leaf) -> str:
+    return leaf if isinstance(leaf, str) else f"{leaf[1]}-with-{leaf[2]}"
+
+
+def licences(tree) -> list[str]:
+    """All licences of an expression, one with its exception counting as one, in order."""
+    return sorted({_name(node) for node in _ordered(tree) if isinstance(node, str) or node[0] == "with"})
+
+
+def satisfied(tree, accepted: set[str]) -> bool:
+    """Evaluates an expression: whether the accepted licences are enough for it."""
+    values: list[bool] = []
+    for node in _ordered(tree):
+        if isinstance(node, str) or node[0] == "with":
+            values.append(_name(node) in accepted)
+        else:
+            one, other = values.pop(), values.pop()
+            values.append(one or other if node[0] == "or" else one and other)
+    return values[0]
+
+
+def written(tree) -> str:
+    """An expression as text, with parentheses where an ``or`` stands below an ``and``."""
+    texts: list[tuple[list[str], str]] = []
+    for node in _ordered(tree):
+        if isinstance(node, str) or node[0] == "with":
+            texts.append(([_name(node)], "with"))
+            continue
+        (right, right_kind), (left, left_kind) = texts.pop(), texts.pop()
+        if node[0] == "and":
+            left = ["(", *left, ")"] if left_kind == "or" else left
+            right = ["(", *right, ")"] if right_kind == "or" else right
+        # The left side carries all before it, so appending keeps the time linear.
+        left += [f" {node[0]} ", *right]
+        texts.append((left, node[0]))
+    return "".join(texts[0][0])
+
+
 @dataclass
 class Found:
     """What a scan finds in one text."""
@@ -178,19 +227,17 @@ class Scanner:
                 found.labels.add(label)
                 found.score = max(found.score, score)
         if tagged:
-            self._read_expressions(raw.translate(_LOWER), found)
+            self._read_expressions(raw.translate(_LOWER).decode("latin-1"), found)
         return found
 
-    def _read_expressions(self, raw: bytes, found: Found) -> None:
+    def _read_expressions(self, raw: str, found: Found) -> None:
+        """Expressions behind all tags of a text given as one character for each byte."""
         for match in _TAG.finditer(raw):
-            behind = raw[match.end() : match.end() + EXPRESSION].decode("utf-8", "ignore")
-            tree = parse(behind.lstrip(" \t:=\"'").split("\n")[0])
-            if tree is None:
-                continue
-            sets = choices(tree)
-            found.expressions.append(" or ".join(" and ".join(sorted(s)) for s in sets))
-            found.labels.update(name for s in sets for name in s)
-            found.score = 1.0
+            tree = parse(raw, _LEAD.match(raw, match.end()).end())
+            if tree is not None:
+                found.expressions.append(written(tree))
+                found.labels.update(licences(tree))
+                found.score = 1.0
 
 
 SCANNED = (

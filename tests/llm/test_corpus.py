@@ -242,6 +242,16 @@ def test_cutoffs_are_the_smallest_proven_ones(spark):
     assert few.count() == 0  # too few labels prove nothing
 
 
+def test_counts_of_texts_with_any_edge(spark):
+    edges = ["\t", "\n", "\x0b", "\f", "\r", " ", *"fntrb", "\x1c", "\x85", "\xa0", ""]
+    texts = [a + "foo bar half" + b for a in edges for b in edges] + ["f " * 60, "\f\x0b", "f", " f", "b\\f"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("lang", F.lit("x"))
+    got = {r.doc_id: (r.n_words, r.word_chars) for r in quality.measure_table(df).collect()}
+    for i, text in enumerate(texts):
+        own = re.findall(r"[^\x20\x09-\x0D]+", text)
+        assert got[i] == (len(own), sum(map(len, own))), repr(text)
+
+
 # --- substrings
 
 

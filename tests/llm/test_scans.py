@@ -87,6 +87,24 @@ def test_malformed_expressions(source):
     assert licenses.parse(source) is None
 
 
+def test_long_expressions_are_read_to_their_end():
+    scanner = licenses.Scanner()
+    names = [f"lic-{i}" for i in range(1000)]
+    found = scanner.scan("x SPDX-License-Identifier: " + " OR ".join(names) + "\nor another line")
+    assert found.labels == set(names) and found.score == 1.0 and found.expressions == [" or ".join(names)]
+    pairs = scanner.scan("License-Expression: " + " and ".join(f"(a{i} or b{i})" for i in range(1000)))
+    assert len(pairs.labels) == 2000
+    assert scanner.scan("SPDX-License-Identifier: " + "(" * 3000 + "mit" + ")" * 3000).labels == {"mit"}
+
+
+def test_expressions_evaluate_and_print():
+    tree = licenses.parse("mit and (bsd or isc) or gpl-2 with classpath")
+    assert licenses.written(tree) == "mit and (bsd or isc) or gpl-2-with-classpath"
+    assert licenses.licences(tree) == ["bsd", "gpl-2-with-classpath", "isc", "mit"]
+    for accepted in ({"mit"}, {"mit", "isc"}, {"gpl-2-with-classpath"}, {"bsd", "isc"}):
+        assert licenses.satisfied(tree, accepted) == any(s <= accepted for s in licenses.choices(tree))
+
+
 def test_licence_scan_equals_brute_force(spark):
     docs = {r.doc_id: r.text for r in queries.table(spark, SF_DIR, "documents").collect()}
     lower = {c: c + 32 for c in range(65, 91)}
