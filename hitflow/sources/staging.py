@@ -38,11 +38,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a table once and read it back."""
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, keep: bool = False) -> DataFrame:
+    """Write a table once and read it back. With ``keep`` it outlives the scratch it is written in."""
     spark = df.sparkSession
     location = new_location(spark, name)
-    if getattr(_scopes, "locations", None) is not None:
+    if not keep and getattr(_scopes, "locations", None) is not None:
         _scopes.locations.append(location)
     writer = df.write.mode("errorifexists")
     if partition_by:
