@@ -410,6 +410,57 @@ def test_chains_and_hubs_of_copies(spark):
     assert near.near_duplicates(df.where("false")).count() == 0
 
 
+def _varied(rng, base, count, edits):
+    out = []
+    for _ in range(count):
+        own = list(base)
+        for at in rng.choice(len(base), edits, replace=False):
+            own[at] = f"z{rng.integers(10**9)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("exhaustive", [False, True])
+def test_links_around_the_threshold_are_found(spark, exhaustive):
+    """Groups whose members are near their origin, but many of them not near each other."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for group in range(4):
+        base = [f"g{group}w{i}" for i in range(150)]
+        texts += [" ".join(base), *_varied(rng, base, 25, 3), *_varied(rng, base, 25, 5), *_varied(rng, base, 25, 8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = _components(_shingle_sets(list(enumerate(texts)), 4))
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(df, exhaustive=exhaustive).collect()}
+    assert sum(got[d] == c for d, c in expected.items()) >= (1.0 if exhaustive else 0.99) * len(expected)
+
+
+def test_a_common_passage_makes_few_pairs(spark, monkeypatch):
+    """One passage in 2,000 documents: pairs stay below members times bands."""
+    rng = np.random.default_rng(9)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [passage + " " + " ".join(f"u{x}" for x in rng.integers(0, 10**9, 60)) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sizes, plain = [], near.stage
+
+    def counted(frame, name, **options):
+        table = plain(frame, name, **options)
+        if name == "near-pairs":
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(near, "stage", counted)
+    assert near.near_duplicates(df).where("component_id <> doc_id").count() == 0
+    assert all(size <= 2000 * near.BANDS for size in sizes)
+
+
+def test_rows_of_one_id_keep_both_texts(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    rows = [(1, one + " x"), (5, one), (5, two), (9, two + " y"), (7, "alone in the world today")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(df).collect()}
+    assert got == {1: 1, 5: 1, 9: 1, 7: 7}
+
+
 def test_entries_agree_like_sets_do():
     rng, orders = np.random.default_rng(5), near._orders()
     agree = []
