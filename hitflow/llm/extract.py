@@ -2,14 +2,20 @@
 
 A page is a sequence of words and tags. A word scores by where it stands (paragraph, heading, list, link, ...), a tag
 scores below zero; the weights are log-odds counted on labelled pages, those that mark their own article with
-``<article>`` or ``<main>``. One linear scan finds the contiguous region of the largest sum. The region is
-widened to whole blocks, and what is no article inside it (menus, adverts, forms, comments, ...) is left out.
+``<article>`` or ``<main>``. Such a mark is evidence for the page that bears it: words in it score at least ``MARKED``, tags
+cost next to nothing there. One linear scan finds the contiguous region of the largest sum. The region is widened
+to whole blocks and to a heading right before it; if most of its words are marked, the others go.
+
+What is no article by its element or name (menus, adverts, forms, comments, ...) scores nothing and is left out, unless
+it holds nearly all the prose of the page: a page wrapped in a form, or with a menu that is never closed, has its article
+in there. Comments are never taken for the article.
 
 Labelled pages: at most ``LABELLED`` pages, the first by a hash of the page_id. Counts start from ``PRIOR``, so a
 table without labelled pages works too.
 
 Defined cases: null or empty html, and pages without a region, give an empty text; markup that is cut off or
-not closed is read as far as it goes; a null or repeated page_id is extracted row by row.
+not closed is read as far as it goes (a script or style until the next block of text begins); an article ends menus that
+are still open; a null or repeated page_id is extracted row by row. Time is linear in the length of a page.
 """
 
 from __future__ import annotations
@@ -25,6 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LABELLED = 1_000
+# Least score of a word and cost of a tag that stand inside a marked article.
+MARKED, MARKED_TAG = 0.5, -0.02
+# An element that is no article by name holds this many times the prose outside it: then it holds the article.
+WRAPS = 4
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
@@ -51,6 +61,10 @@ _HINTS = {
     "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share",
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets",
 }
+# Never the article, however much of the page they hold.
+_ANSWERS = {"comment", "comments", "discussion", "disqus", "replies", "reply", "respond"}
+# Elements that end where an article begins inside them.
+_ENDED = {"nav", "menu", "header", "select", "button", "label", "fieldset", "head"}
 _ARTICLE_PARTS = {"article", "content", "entry", "post", "story", "title", "headline"}
 _NOT_HERE = {"has", "with", "no", "without", "not"}
 
@@ -101,6 +115,11 @@ def _is_outside(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _is_answer(attributes: str) -> bool:
+    names = (m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id", "role"))
+    return any(_ANSWERS.intersection(part.lower() for part in _PART.findall(name)) for name in names)
+
+
 class Piece:
     """A run of text or a tag of a page, in order."""
 
@@ -110,84 +129,130 @@ class Piece:
         self.kind, self.text, self.count, self.block, self.outside, self.labelled = kind, text, count, block, outside, labelled
 
 
+_TEXT_BLOCK = re.compile(r"<(?:p|h[1-6]|article|main|section|div|body|ul|ol|table|blockquote)\b", re.I)
+
+
 def pieces(html: str) -> list[Piece]:
     """The page as pieces; text knows its block, whether it is outside any article, and whether markup labels it."""
-    found: list[Piece] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, outside, labelled
-    outside = labelled = links = block = 0
-    at = 0
-    length = len(html)
-
-    def text(start: int, end: int) -> None:
-        run = html[start:end]
+    reader = _Reader(html, frozenset())
+    wrapping = reader.wrapping()
+    return _Reader(html, wrapping).found if wrapping else reader.found
+
+
+class _Reader:
+    """Reads a page once. ``allowed`` are elements, by the place of their tag, that count as any other."""
+
+    def __init__(self, html: str, allowed: frozenset[int]):
+        self.html, self.allowed = html, allowed
+        self.found: list[Piece] = []
+        # Tag, outside, labelled, kind of its words, and the outside element it opens.
+        self.stack: list[tuple[str, bool, bool, str, list | None]] = []
+        self.open: Counter = Counter()
+        self.outside = self.labelled = self.links = self.block = 0
+        # Words of prose before here, and [place of the tag, prose before, prose up to its end, may hold the article].
+        self.prose = 0
+        self.outsiders: list[list] = []
+        self._read()
+        self._leave(0)
+
+    def wrapping(self) -> frozenset[int]:
+        """Elements that are outside by name and hold ``WRAPS`` times the prose that stands elsewhere."""
+        return frozenset(
+            place for place, before, after, may in self.outsiders if may and after - before > WRAPS * (self.prose - (after - before))
+        )
+
+    def _text(self, start: int, end: int) -> None:
+        run = self.html[start:end]
         if not run:
             return
         count = len(run.split())
-        if outside:
+        kind = "word:link" if self.links else self.stack[-1][3] if self.stack else "word:bare"
+        if kind in ("word:paragraph", "word:heading", "word:item", "word:bare"):
+            self.prose += count
+        if self.outside:
             kind = "nothing"
-        elif links:
-            kind = "word:link"
-        else:
-            kind = next((_WORD_KIND[t] for t, _, _ in reversed(stack) if t in _WORD_KIND), "word:bare")
-        found.append(Piece(kind, run, count, block, outside > 0, labelled > 0))
-
-    def leave(index: int) -> None:
-        nonlocal outside, labelled, links
-        for tag, out, label in stack[index:]:
-            outside -= out
-            labelled -= label
-            links -= tag == "a"
-        del stack[index:]
-
-    while at < length:
-        start = html.find("<", at)
-        if start < 0:
-            text(at, length)
-            break
-        match = _MARKUP.match(html, start)
-        if not match:
-            # A bare less-than sign is text.
-            text(at, start + 1)
-            at = start + 1
-            continue
-        text(at, start)
-        at = match.end()
-        if match[2] is None:
-            continue
-        tag, closing = match[2].lower(), match[1] == "/"
-        if tag in _RAW and not closing:
-            if not match[3].endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
-                at = end.end() if end else length
-            continue
+        self.found.append(Piece(kind, run, count, self.block, self.outside > 0, self.labelled > 0))
+
+    def _leave(self, index: int) -> None:
+        for tag, out, label, _, outsider in self.stack[index:]:
+            self.outside -= out
+            self.labelled -= label
+            self.links -= tag == "a"
+            self.open[tag] -= 1
+            if outsider is not None:
+                outsider[2] = self.prose
+        del self.stack[index:]
+
+    def _enter(self, tag: str, attributes: str, place: int) -> bool:
+        """Opens an element; whether it is the outermost one that is no article."""
+        label = tag in ("article", "main") or "articlebody" in attributes.lower()
         if tag in BLOCKS:
-            block += 1
-        entered = False
-        if closing:
-            for index in range(len(stack) - 1, -1, -1):
-                if stack[index][0] == tag:
-                    leave(index)
-                    break
-        elif tag not in _VOID:
+            # Paragraphs, items and headings end where a block begins inside them.
+            while self.stack and (self.stack[-1][0] == "p" or self.stack[-1][0] == tag and tag in ("li", "dt", "dd", "option")):
+                self._leave(len(self.stack) - 1)
+        if label and self.outside:
+            ended = next((i for i, entry in enumerate(self.stack) if entry[1]), None)
+            if ended is not None and self.stack[ended][0] in _ENDED:
+                self._leave(ended)
+        outsider, own = None, _is_outside(tag, attributes, self.labelled > 0)
+        if own:
+            outsider = [place, self.prose, self.prose, not _is_answer(attributes)]
+            self.outsiders.append(outsider)
+            own = place not in self.allowed
+        kind = _WORD_KIND.get(tag) or (self.stack[-1][3] if self.stack else "word:bare")
+        self.stack.append((tag, own, label, kind, outsider))
+        self.open[tag] += 1
+        self.outside += own
+        self.labelled += label
+        self.links += tag == "a"
+        return own and self.outside == 1
+
+    def _read(self) -> None:
+        html, at, length = self.html, 0, len(self.html)
+        unclosed: set[str] = set()
+        while at < length:
+            start = html.find("<", at)
+            if start < 0:
+                self._text(at, length)
+                break
+            match = _MARKUP.match(html, start)
+            if not match:
+                # A bare less-than sign is text.
+                self._text(at, start + 1)
+                at = start + 1
+                continue
+            self._text(at, start)
+            at = match.end()
+            if match[2] is None:
+                continue
+            tag, closing = match[2].lower(), match[1] == "/"
+            if tag in _RAW and not closing:
+                if not match[3].endswith("/"):
+                    end = None if tag in unclosed else re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
+                    if end:
+                        at = end.end()
+                    else:
+                        # Never closed from here on: code ends where text begins, other elements are ignored.
+                        unclosed.add(tag)
+                        if tag in ("script", "style"):
+                            begins = _TEXT_BLOCK.search(html, at)
+                            at = begins.start() if begins else length
+                continue
             if tag in BLOCKS:
-                # Paragraphs, items and headings end where a block begins inside them.
-                while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "option")):
-                    leave(len(stack) - 1)
-            own = _is_outside(tag, match[3], labelled > 0)
-            label = tag in ("article", "main") or "articlebody" in match[3].lower()
-            stack.append((tag, own, label))
-            outside += own
-            labelled += label
-            links += tag == "a"
-            entered = own and outside == 1
-        # An element that is no article costs one tag, whatever it holds; its words are left out anyway.
-        kind = "tag:outside" if entered else "nothing" if outside else _TAG_KIND.get(tag, "tag:other")
-        found.append(Piece(kind, "", 1, block, outside > 0, labelled > 0))
-        if tag in BLOCKS:
-            block += 1
-        elif tag in ("br", "td", "th"):
-            found.append(Piece("nothing", " ", 0, block, outside > 0, labelled > 0))
-    return found
+                self.block += 1
+            entered = False
+            if closing:
+                if self.open[tag]:
+                    self._leave(next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag))
+            elif tag not in _VOID:
+                entered = self._enter(tag, match[3], start)
+            # An element that is no article costs one tag, whatever it holds; its words are left out anyway.
+            kind = "tag:outside" if entered else "nothing" if self.outside else _TAG_KIND.get(tag, "tag:other")
+            self.found.append(Piece(kind, "", 1, self.block, self.outside > 0, self.labelled > 0))
+            if tag in BLOCKS:
+                self.block += 1
+            elif tag in ("br", "td", "th"):
+                self.found.append(Piece("nothing", " ", 0, self.block, self.outside > 0, self.labelled > 0))
 
 
 def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
@@ -214,18 +279,42 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
+def _score(piece: Piece, scores: dict[str, float]) -> float:
+    score = scores[piece.kind]
+    if piece.labelled and piece.kind != "nothing":
+        score = max(score, MARKED if piece.kind.startswith("word") else MARKED_TAG)
+    return score * piece.count
+
+
+def _with_heading(found: list[Piece], start: int) -> int:
+    """The start of a heading that stands right before a region, with nothing but tags between, else the region's."""
+    at = start
+    for index in range(start - 1, -1, -1):
+        piece = found[index]
+        if piece.outside or not piece.text.strip():
+            continue
+        if piece.kind != "word:heading":
+            break
+        at = index
+    return at
+
+
 def main_text(html: str | None, scores: dict[str, float]) -> str:
     if not html:
         return ""
     found = pieces(html)
-    start, end = best_region([scores[p.kind] * p.count for p in found])
+    start, end = best_region([_score(p, scores) for p in found])
     if start == end:
         return ""
+    start = _with_heading(found, start)
     first, last = found[start].block, found[end - 1].block
+    inside = [p for p in found if first <= p.block <= last and p.text and not p.outside]
+    marked = sum(p.count for p in inside if p.labelled)
+    if 2 * marked > sum(p.count for p in inside):
+        inside = [p for p in inside if p.labelled]
     blocks: dict[int, list[str]] = {}
-    for piece in found:
-        if first <= piece.block <= last and piece.text and not piece.outside:
-            blocks.setdefault(piece.block, []).append(piece.text)
+    for piece in inside:
+        blocks.setdefault(piece.block, []).append(piece.text)
     joined = (" ".join(references.unescape("".join(runs)).split()) for runs in blocks.values())
     return "\n\n".join(text for text in joined if text)
 

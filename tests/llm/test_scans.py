@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -34,6 +35,39 @@ def test_article_is_found_and_the_rest_left_out():
     ]
 
 
+LONG = [f"This is sentence number {i} of a text that goes on for a while, as articles do." for i in range(8)]
+BODY = "".join(f"<p>{line}</p>" for line in LONG)
+MENU = "<nav><ul>" + "".join(f"<li><a href=/{i}>Menu entry {i}</a></li>" for i in range(12)) + "</ul></nav>"
+FOOT = "<footer><p>All rights reserved by the owner of this site</p></footer>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<html><body>{MENU}<div><h1>The title</h1>{BODY}</div>{FOOT}</body></html>",
+        f"<html><body><form action=x>{MENU}<h1>The title</h1>{BODY}{FOOT}</form></body></html>",
+        f"<html><body><div>{MENU.removesuffix('</nav>')}</div><div><h1>The title</h1>{BODY}</div>{FOOT}</body></html>",
+        f"<html><body>{MENU.removesuffix('</nav>')}<article><h1>The title</h1>{BODY}</article>{FOOT}</body></html>",
+        f"<html><body>{MENU}<div class='search-result widget-area'><h1>The title</h1>{BODY}</div>{FOOT}</body></html>",
+        f"<html><body>{MENU}<svg><main><h1>The title</h1>{BODY}</main>{FOOT}</body></html>",
+        f"<html><body>{MENU}<script>var a = 1;<h1>The title</h1>{BODY}{FOOT}</body></html>",
+        f"<html><body>{MENU}<main><h1>The title</h1><div class=ad><p>Buy this {'now ' * 20}</p></div>{BODY}</main>{FOOT}</body></html>",
+        f"<html><body>{MENU}<div><h1>The title</h1>{BODY}</div><div id=comments>{BODY.replace('This', 'My') * 3}</div>{FOOT}</body></html>",
+    ],
+)
+def test_articles_without_marks_or_in_odd_places(html):
+    blocks = extract.main_text(html, SCORES).split("\n\n")
+    assert [b for b in blocks if not b.startswith("Menu entry")] == ["The title", *LONG]
+    assert len(blocks) <= len(LONG) + 1
+
+
+@pytest.mark.parametrize("part", ["<b>", "</b>", "<div>", "</div>x", "<svg>", "<b>x", "<nav>y", "<form>", "<p>w", "<!--x", "<a '"])
+def test_long_pages_take_linear_time(part):
+    begin = time.monotonic()
+    assert isinstance(extract.main_text(part * (1_000_000 // len(part)), SCORES), str)
+    assert time.monotonic() - begin < 30
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<nav>x", "<!-- open", "<script>x", "&amp", "</p></p>"])
 def test_broken_pages_do_not_fail(html):
     assert isinstance(extract.main_text(html, SCORES), str)
