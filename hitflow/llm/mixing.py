@@ -8,10 +8,12 @@ summed up to the rest of the target.
 
 A source of any size is sorted in parts: keys fall into buckets, bucket totals are summed up, and only the bucket
 in which the sum passes the target is sorted. What leaves this is one row per source with a cut through its keys.
+Buckets are even whatever the weights: they follow the distribution of the keys, which the number of documents in
+each of twenty classes of weight gives.
 
-Keys come from a digest of the doc_id, so reruns agree. Defined cases: null, empty and blank texts have size 0
-and are taken 0 times; a null source is a source; rows that repeat a doc_id share its draw; an empty table
-gives an empty mix. Further columns of the input are kept by ``mixed``.
+Keys come from a digest of doc_id, text and a running number among equal rows, so reruns agree. Defined cases: null,
+empty and blank texts have size 0 and are taken 0 times; a null source is a source; rows with a null or a repeated
+doc_id are drawn each for itself; an empty table gives an empty mix. Further columns of the input are kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ MAX_EPOCHS = 3
 # Rows of a source that one bucket of keys is meant to hold.
 BUCKET_ROWS = 5_000
 SALT = "mix-1"
+# Classes of weight, of equal width up to 1.
+CLASSES = 20
 
 
 def size_of(text: str = "text") -> str:
@@ -40,16 +44,35 @@ def quality_of(text: str = "text") -> str:
     return f"greatest(0.05D, 1.0D - 5.0D * {symbols} / greatest(length(coalesce({text}, '')), 1))"
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, source, text, ...) with ``_hash`` of the text and ``_nth``, the running number among equal rows.
+
+    Only rows that have an equal are numbered, which are few; all others stay where they are.
+    """
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    counts = hashed.groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("_hash").alias("_h")).agg(F.count("*").alias("_c"))
+    repeated = stage(counts.where("_c > 1").drop("_c"), "mix-repeated")
+    if repeated.isEmpty():
+        return hashed.withColumn("_nth", F.lit(0))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_hash") == F.col("_h"))
+    order = F.row_number().over(W.partitionBy("doc_id", "source", "_hash").orderBy(F.lit(0)))
+    single = hashed.join(repeated, same, "left_anti").withColumn("_nth", F.lit(0))
+    return single.unionByName(hashed.join(repeated, same, "left_semi").withColumn("_nth", order))
+
+
 def drawn(docs: DataFrame) -> DataFrame:
-    """``docs`` with size and key as ``_size`` and ``_key``."""
+    """``docs`` with size, key and class of weight as ``_size``, ``_key`` and ``_class``."""
     # 52 bits of a digest as a number strictly between 0 and 1.
-    digits = f"substr(md5(concat('{SALT}:', coalesce(string(doc_id), ''))), 1, 13)"
+    digits = f"substr(md5(concat_ws(':', '{SALT}', coalesce(string(doc_id), ''), _hash, _nth)), 1, 13)"
     uniform = f"((double(conv({digits}, 16, 10)) + 0.5D) / 4503599627370496.0D)"
-    return docs.withColumns({"_size": F.expr(size_of()), "_key": F.expr(f"-ln({uniform}) / {quality_of()}")})
+    sized = numbered(docs).withColumn("_size", F.expr(size_of())).withColumn("_quality", F.expr(quality_of()))
+    return sized.withColumns({
+        "_key": F.expr(f"-ln({uniform}) / _quality"), "_class": F.expr(f"int(round(_quality * {CLASSES}))")
+    }).drop("_hash", "_nth", "_quality")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """source, source_size, rows and target from one row per source (source, source_size, rows).
+    """source, source_size, rows, classes and target from one row per source (source, source_size, rows, classes).
 
     Water filling in closed form: in order of cap per weight the sources up to some point are capped, and the level
     of the others follows from what is left.
@@ -69,16 +92,19 @@ def targets(sizes: DataFrame) -> DataFrame:
         .withColumn("_final", F.min(F.expr("if(_capped, null, struct(_cap / _w as r, _rank, _level))")).over(everything))
     )
     target = F.expr("if(_capped or _final is null, double(_cap), least(double(_cap), _final._level * _w))")
-    return levels.select("source", "source_size", "rows", target.alias("target"))
+    return levels.select("source", "source_size", "rows", "classes", target.alias("target"))
 
 
 def plan(draws: DataFrame) -> DataFrame:
     """One row per source: source_size, target, complete epochs and where the last, partial one is cut.
 
-    ``draws`` is a written table of source, _size and _key. A document is in the partial epoch if its bucket lies
+    ``draws`` is a written table of source, _size, _key and _class. A document is in the partial epoch if its bucket lies
     below ``cut_bucket``, or is that bucket and its key is at most ``cut_key`` or just ``fill_key``.
     """
-    sizes = draws.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("rows"))
+    classes = draws.groupBy("source", "_class").agg(F.sum("_size").alias("_words"), F.count("*").alias("_n"))
+    sizes = classes.groupBy("source").agg(
+        F.sum("_words").alias("source_size"), F.sum("_n").alias("rows"), F.collect_list(F.struct("_class", "_n")).alias("classes")
+    )
     sources = (
         targets(sizes)
         .withColumn("epochs", F.expr("if(source_size = 0, 0L, bigint(floor(target / source_size + 1e-9D)))"))
@@ -121,12 +147,15 @@ def plan(draws: DataFrame) -> DataFrame:
     )
     whole = sources.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
     return stage(
-        whole.select("source", "source_size", "target", "epochs", "buckets", "cut_bucket", "cut_key", "fill_key"), "mix-plan"
+        whole.select("source", "source_size", "target", "epochs", "rows", "classes", "buckets", "cut_bucket", "cut_key", "fill_key"), "mix-plan"
     )
 
 
 def with_plan(draws: DataFrame, sources: DataFrame) -> DataFrame:
-    """Draws with the columns of their source and their bucket: keys of weight 1 spread evenly over the buckets.
+    """Draws with the columns of their source and their bucket, into which keys of any weights fall evenly.
+
+    A key of weight w lies below k with probability 1 - exp(-w k); over the classes this gives the share of the source's
+    keys below k, which grows with k.
 
     ``sources`` is a written table of one row per source, so Spark knows its size and broadcasts it if small.
     """
@@ -134,7 +163,9 @@ def with_plan(draws: DataFrame, sources: DataFrame) -> DataFrame:
     return (
         draws.join(right, F.col("source").eqNullSafe(F.col("_plan_source")))
         .drop("_plan_source")
-        .withColumn("bucket", F.expr("bigint(floor(buckets * (1 - exp(-_key))))"))
+        .withColumn("_below", F.expr(f"aggregate(classes, 0D, (a, c) -> a + c._n * (1 - exp(-c._class / {CLASSES}D * _key)))"))
+        .withColumn("bucket", F.expr("least(buckets - 1, bigint(floor(buckets * _below / rows)))"))
+        .drop("_below", "classes", "rows")
     )
 
 

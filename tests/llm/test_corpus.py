@@ -352,6 +352,30 @@ def test_mix_of_odd_rows_and_capped_sources(spark):
     assert mixing.mix(df.where("false")).count() == mixing.mixed(df.where("false")).count() == 0
 
 
+def test_mix_draws_rows_without_an_id_and_equal_rows_each_for_itself(spark):
+    schema = "doc_id bigint, source string, text string"
+    rows = [(None, "a", f"null {i} x y") for i in range(500)] + [(7, "b", "w " * 4)] * 500 + [(i, "c", "w " * 4) for i in range(1500)]
+    df = spark.createDataFrame(rows, schema)
+    got = mixing.mix(df).collect()
+    # Keys of equal rows differ, so each source comes near its target.
+    for size in {r.source_size for r in got}:
+        part = [r for r in got if r.source_size == size]
+        taken, target = sum(r.taken for r in part), sum({r.target for r in part})
+        assert abs(taken - target) <= 8
+    assert Counter(map(tuple, got)) == Counter(map(tuple, mixing.mix(df.repartition(5)).collect()))
+    assert sum(r.taken for r in got) == 4 * mixing.mixed(df).count()
+
+
+def test_buckets_are_even_for_any_weight(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 500)
+    texts = ["# $ % & |", "plain words without any sign at all", "some # of it is a sign"]
+    rows = [(i, "code" if i % 2 else "prose", texts[0 if i % 2 else i % 3]) for i in range(20_000)]
+    draws = mixing.stage(mixing.drawn(spark.createDataFrame(rows, "doc_id bigint, source string, text string")).drop("text"), "draws")
+    placed = mixing.with_plan(draws, mixing.plan(draws))
+    counts = placed.groupBy("source", "bucket").count().collect()
+    assert len(counts) == 40 and max(r["count"] for r in counts) <= 3 * 500
+
+
 # --- near copies
 
 
