@@ -336,3 +336,23 @@ attributed AS (
   FROM hits h JOIN imps i ON i.client_id = h.client_id AND i.ip = h.ip {BEFORE}
   QUALIFY row_number() OVER (PARTITION BY h.id ORDER BY i.event_time DESC, i.id DESC) = 1)
 SELECT * FROM attributed QUALIFY {FIRST}"""
+
+PHASES = f"""{TOUCHES},
+arrived AS (SELECT id, CASE WHEN ingest_time < TIMESTAMP '2024-01-11' THEN 0
+                            WHEN ingest_time < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS period FROM touches),
+attributed AS (
+  SELECT {HIT_COLUMNS}, i.id AS impression_id, i.event_time AS impression_time, a.period
+  FROM hits h JOIN arrived a ON a.id = h.id
+  JOIN imps i ON i.client_id = h.client_id AND i.ip = h.ip JOIN arrived b ON b.id = i.id AND b.period <= a.period
+  QUALIFY row_number() OVER (PARTITION BY h.id ORDER BY b.period DESC, i.event_time DESC, i.id DESC) = 1),
+accepted AS (SELECT * FROM attributed
+  QUALIFY row_number() OVER (PARTITION BY impression_id, site_id ORDER BY period, event_time, id) = 1)"""
+ORACLES["stream_stateful_phases"] = f"""WITH {PHASES}
+SELECT id, event_time, client_id, site_id, ip, impression_id, impression_time FROM accepted"""
+ORACLES["stream_state_table"] = f"""WITH {PHASES},
+last AS (SELECT i.client_id, i.ip, i.id AS impression_id, i.event_time AS impression_time
+  FROM imps i JOIN arrived b ON b.id = i.id
+  QUALIFY row_number() OVER (PARTITION BY i.client_id, i.ip ORDER BY b.period DESC, i.event_time DESC, i.id DESC) = 1)
+SELECT l.*, coalesce(s.sites, '') AS sites FROM last l LEFT JOIN (
+  SELECT impression_id, string_agg(CAST(site_id AS VARCHAR), ',' ORDER BY site_id) AS sites
+  FROM accepted GROUP BY impression_id) s ON s.impression_id = l.impression_id"""

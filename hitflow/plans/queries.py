@@ -663,3 +663,42 @@ def stream_stateful_attribution(spark, sf_dir):
             .start()
         )
     return spark.read.schema(hits.schema).parquet(out)
+
+
+# Ends of the periods in which the lines of the streams below arrive.
+ARRIVALS = ("2024-01-11", "2024-01-21", "2100-01-01")
+
+
+def _arrivals(lines: DataFrame) -> list[DataFrame]:
+    """The lines of each period."""
+    ends = [F.lit(end).cast("timestamp_ntz") for end in ARRIVALS]
+    starts = [F.lit("1900-01-01").cast("timestamp_ntz"), *ends[:-1]]
+    return [lines.where((F.col("ingest_time") >= start) & (F.col("ingest_time") < end)) for start, end in zip(starts, ends)]
+
+
+def _in_phases(spark, sf_dir):
+    """Keyed state over three micro-batches, impressions before hits in each. Accepted hits and the checkpoint."""
+    inbox, out, checkpoint = (new_location(spark, name) for name in ("inbox", "stateful", "stateful-checkpoint"))
+    lines = load_lines(spark, sf_dir)
+    for period, arrived in enumerate(_arrivals(lines)):
+        arrived.write.parquet(f"{inbox}/period={period}")
+        waiting = spark.readStream.schema(lines.schema).parquet(f"{inbox}/period=*")
+        rows = classify.accepted_of(pipeline.touches_of(waiting), "id", "event_time", "client_id", "site_id", "ip")
+        hits = stateful.attribute_stateful(stateful.tagged(rows), stateful.LastTouch(stateful.PHASES))
+        writer = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        with state_store(spark, drain=True):
+            _drained(queues.run(writer, True, ""))
+    return spark.read.schema(hits.schema).parquet(out), checkpoint
+
+
+@query
+def stream_stateful_phases(spark, sf_dir):
+    """Attribution by arrival over three micro-batches: impressions of a batch first, then its hits."""
+    return _in_phases(spark, sf_dir)[0]
+
+
+@query
+def stream_state_table(spark, sf_dir):
+    """The state that three micro-batches left: last impression of every key and the sites it was credited with."""
+    touches = stateful.last_touches(spark, _in_phases(spark, sf_dir)[1])
+    return touches.select("client_id", "ip", "impression_id", "impression_time", F.array_join("sites", ",").alias("sites"))
