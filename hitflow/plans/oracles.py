@@ -356,3 +356,9 @@ last AS (SELECT i.client_id, i.ip, i.id AS impression_id, i.event_time AS impres
 SELECT l.*, coalesce(s.sites, '') AS sites FROM last l LEFT JOIN (
   SELECT impression_id, string_agg(CAST(site_id AS VARCHAR), ',' ORDER BY site_id) AS sites
   FROM accepted GROUP BY impression_id) s ON s.impression_id = l.impression_id"""
+ORACLES["numbered_lines"] = f"""WITH lines AS ({LINES})
+SELECT host, file, row_number() OVER (PARTITION BY host, file ORDER BY line_num) AS line_num, raw FROM lines"""
+ORACLES["stream_tail_rotation"] = f"""WITH lines AS ({LINES})
+SELECT host, row_number() OVER (PARTITION BY host, file ORDER BY line_num) AS line_num, raw,
+       CASE WHEN ingest_time < TIMESTAMP '2024-01-10 12:00:00' THEN 0
+            WHEN ingest_time < TIMESTAMP '2024-01-20 12:00:00' THEN 1 ELSE 2 END AS poll FROM lines"""

@@ -28,8 +28,9 @@ from hitflow.plans import pipeline
 from hitflow.plans.workload import lines_from_events, load, load_lines
 from hitflow.schemas import ENTRY, ENVELOPE, PROCESSING_STATE
 from hitflow.session import state_store
+from hitflow.sources import logs
 from hitflow.sources.staging import new_location
-from hitflow.streaming import attribution, consumers, queues, replays, stateful
+from hitflow.streaming import attribution, consumers, queues, replays, stateful, tailing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -526,6 +527,20 @@ def latest_rotated_file(spark, sf_dir):
     return tail.latest_rotated_file(files)
 
 
+def _log_files(lines: DataFrame, path: str) -> None:
+    """Lines (host, file, line_num, raw) as text, one file per host and day as edge servers write them."""
+    ordered = lines.repartition("host", "file").sortWithinPartitions("host", "file", "line_num")
+    ordered.select("host", "file", "raw").write.partitionBy("host", "file").text(path)
+
+
+@query
+def numbered_lines(spark, sf_dir):
+    """All log files, written as text and read back with the number of every line."""
+    path = new_location(spark, "log-files")
+    _log_files(load_lines(spark, sf_dir), path)
+    return logs.read_lines(spark, f"{path}/*/*")
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -702,3 +717,22 @@ def stream_state_table(spark, sf_dir):
     """The state that three micro-batches left: last impression of every key and the sites it was credited with."""
     touches = stateful.last_touches(spark, _in_phases(spark, sf_dir)[1])
     return touches.select("client_id", "ip", "impression_id", "impression_time", F.array_join("sites", ",").alias("sites"))
+
+
+# Times of three polls; the file of the day is called access.log until the day is over.
+POLLS = ("2024-01-10 12:00:00", "2024-01-20 12:00:00", "2100-01-01 00:00:00")
+
+
+@query
+def stream_tail_rotation(spark, sf_dir):
+    """Every line once, with the poll that found it, over three polls between which files grow and are renamed."""
+    inbox, root, checkpoint = (new_location(spark, name) for name in ("polls", "tail", "tail-checkpoint"))
+    tables = tailing.TailTables(root)
+    lines = load_lines(spark, sf_dir)
+    for number, polled in enumerate(POLLS):
+        now = F.lit(polled).cast("timestamp_ntz")
+        today = F.concat(F.lit("access.log-"), F.date_format(now, "yyyyMMdd"))
+        name = F.when(F.col("file") == today, "access.log").otherwise(F.col("file"))
+        _log_files(lines.where(F.col("ingest_time") < now).withColumn("file", name), f"{inbox}/poll={number}")
+        _drained(tailing.tail_stream(tailing.polled_text(spark, f"{inbox}/*/*/*"), tables, checkpoint))
+    return tables.lines(spark).select("host", "line_num", "raw", F.col("batch_id").alias("poll"))

@@ -50,6 +50,16 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pin_file_splits(spark: SparkSession) -> None:
+    """Keep scans of the same files cut alike while executors come and go.
+
+    Where ``spark.sql.files.minPartitionNum`` is unset, Spark cuts small inputs by the number of cores it sees at the time.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+
+
 @contextmanager
 def state_store(spark: SparkSession, drain: bool = False):
     """Streams started inside keep their state in RocksDB, as keyed state with expiry requires.

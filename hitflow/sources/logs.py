@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hitflow.session import pin_file_splits
 from hitflow.sources.staging import stage
 
-# A file-block table above this many rows is joined by shuffle instead of broadcast.
-MAX_BROADCAST_BLOCKS = 1_000_000
+# Bytes of file blocks (names and numbers) up to which their table is sent to all tasks.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def host_of_path(path: Column) -> Column:
@@ -18,31 +19,65 @@ def host_of_path(path: Column) -> Column:
     return F.coalesce(named, F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Closed log files as host, file, line_num (1-based within the file) and raw.
+def file_of_path(path: Column) -> Column:
+    """File named by a ``file=...`` folder of a path, else the last part of the path."""
+    named = F.nullif(F.regexp_extract(path, r"/file=([^/]+)/", 1), F.lit(""))
+    return F.coalesce(named, F.regexp_extract(path, r"([^/]+)$", 1))
 
-    Text is read once into a written table together with the file block a line came from and its
-    position; line numbers are that position plus the number of lines in the earlier blocks of the file.
-    """
-    text = spark.read.text(path).select(
+
+_BLOCK = ["_path", "_block", "_task"]
+
+
+def text_blocks(text: DataFrame) -> DataFrame:
+    """Rows of a text source, batch or stream, with the file block they come from."""
+    return text.select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"),
     )
-    rows = stage(text, "log-lines")
-    blocks = rows.groupBy("_path", "_block").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
+
+
+def located_text(text: DataFrame) -> DataFrame:
+    """Rows of a text source with the file block they come from and their place: raw, _path, _block, _task, _pos."""
+    return placed(text_blocks(text))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Rows of ``text_blocks`` with their place in the scan. Within a block places rise by one a line."""
+    return rows.withColumns({"_task": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
+
+
+def count_blocks(located: DataFrame) -> DataFrame:
+    """A written table of the file blocks of ``located_text``: first place and number of lines of each."""
+    counted = located.groupBy(*_BLOCK).agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
+    return stage(counted, "log-blocks")
+
+
+def number_lines(located: DataFrame, blocks: DataFrame) -> DataFrame:
+    """_path, line_num (1-based within the file) and raw of rows of ``located_text``.
+
+    Files are read twice and text is not copied. ``count_blocks`` reads them for the first time and keeps a small
+    table. A running sum over the blocks of a file tells how far the places of a block are from its line numbers; the
+    second pass adds that. Both passes must cut files into the same tasks (``pin_file_splits``); were it otherwise, a
+    row would find no block of its task, which is an error and no wrong number.
+    """
     earlier = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    shifts = blocks.select("_path", "_block", (before - F.col("_first") + 1).alias("_shift"))
-    if shifts.limit(MAX_BROADCAST_BLOCKS + 1).count() <= MAX_BROADCAST_BLOCKS:
+    shifts = blocks.select(*_BLOCK, (before - F.col("_first") + 1).alias("_shift"))
+    size = blocks.agg(F.coalesce(F.sum(F.octet_length("_path") + 64), F.lit(0))).first()[0]
+    if size <= MAX_BROADCAST_BYTES:
         shifts = F.broadcast(shifts)
-    numbered = rows.join(shifts, ["_path", "_block"])
-    return numbered.select(
-        host_of_path(F.col("_path")).alias("host"),
-        F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"),
-        (F.col("_pos") + F.col("_shift")).alias("line_num"),
-        "raw",
+    moved = F.coalesce("_shift", F.raise_error(F.lit("files changed while they were read")).cast("bigint"))
+    numbered = located.join(shifts, _BLOCK, "left")
+    return numbered.select("_path", (F.col("_pos") + moved).alias("line_num"), "raw")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Closed log files as host, file, line_num (1-based within the file) and raw."""
+    pin_file_splits(spark)
+    located = located_text(spark.read.text(path))
+    return number_lines(located, count_blocks(located)).select(
+        host_of_path(F.col("_path")).alias("host"), file_of_path(F.col("_path")).alias("file"), "line_num", "raw"
     )
 
 

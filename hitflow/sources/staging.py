@@ -34,8 +34,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         locations, _scopes.locations = _scopes.locations, before
         for location in locations:
-            path = spark._jvm.org.apache.hadoop.fs.Path(location)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, location)
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    """Delete a folder or file on whatever file system holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None, keep: bool = False) -> DataFrame:
