@@ -8,7 +8,9 @@ Model of a lane. Order 2 and order 1 each predict the id that last followed the
 hash of the context, with a confidence from 0 to 7). How far to trust a prediction is learnt per order and
 confidence; both orders are mixed with weights that follow their success. An id is coded as "what order 2 says",
 "what order 1 says" or an escape. An escaped id is coded by order 0: the frequencies of the ids of the block up
-to the last power of two, over a uniform floor. All arithmetic is in integers, so decoding is exact anywhere.
+to the last power of two, over those that the segment's header states for all of its ids, over a uniform floor. Every
+block starts from the same header, so blocks stay short and independent without learning common ids anew. All
+arithmetic is in integers, so decoding is exact anywhere.
 
 The range coder is the carry-less one: 64-bit low, at least 32 bits of range, 16-bit output.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from math import isqrt
 
 import numpy as np
 
@@ -24,16 +27,19 @@ BLOCK = 2048
 IDS = 1 << 16
 SLOTS = 2048
 MAGIC = b"HFTK"
-VERSION = 1
+VERSION = 2
 
-_HEAD = struct.Struct("<4sHHII")
+_HEAD = struct.Struct("<4sHHIIII")  # magic, version, flags, block, blocks, bytes of the prior, their crc
 _ENTRY = np.dtype([("ids", "<u4"), ("units", "<u4"), ("payload_crc", "<u4"), ("ids_crc", "<u4")])
 
 _TOP = np.uint64(1 << 48)
 _FLOOR = np.uint64(1 << 32)
 _U16, _U48 = np.uint64(16), np.uint64(48)
-_FIRST_TABLE = 64
-_WEIGHT = 32  # of one occurrence against the uniform floor of 1 per id
+_FIRST_TABLE = 64  # a power of two
+_SCALE = 1 << 22  # of the prior; at least 1 falls to each id
+_WEIGHT = 1 << 11  # of one occurrence in the block
+# Counts are stored as eighths of their logarithm: 2^(q/8), rounded down by exact eighth roots.
+_LEVELS = np.array([0] + [isqrt(isqrt(isqrt(1 << (q + 64)))) for q in range(255)], np.int64)
 _NOTHING = 0xFFFF << 3  # a slot that predicts no id in use, without confidence
 
 
@@ -94,22 +100,41 @@ class _Model:
         self.last[:active] = ids
 
 
+class _Prior:
+    """Frequencies of all ids as the header of a segment states them."""
+
+    def __init__(self, levels: np.ndarray):
+        weights = _LEVELS.take(levels)
+        widths = 1 + weights * (_SCALE - IDS) // max(int(weights.sum()), 1)
+        self.start = np.concatenate(([0], np.cumsum(widths)))
+        self.width, self.total = widths, int(self.start[-1])
+
+    @staticmethod
+    def levels(ids: np.ndarray) -> np.ndarray:
+        counts = np.bincount(ids, minlength=IDS)
+        return np.searchsorted(_LEVELS, counts << 8, side="right").astype(np.uint8) - 1
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, value, side="right") - 1
+
+
 class _Order0:
-    """Frequencies of the ids that a lane had at the last power of two, as its sorted ids.
+    """The prior and, above it, the frequencies of the ids that a lane had at the last power of two, as its sorted ids.
 
-    Start of the k-th sorted id x in the cumulative order is ``x + _WEIGHT * k``, which rises strictly; all
-    ranks follow from a binary search, without tables over the vocabulary.
+    Start of the k-th sorted id x in the cumulative order is ``prior.start[x] + _WEIGHT * k``, which rises strictly.
+    Lanes lie one after the other in one sorted table, so that all ranks follow from one binary search.
     """
 
-    def __init__(self, lanes: int):
-        self.lanes, self.size = lanes, 0
-        self.starts = np.empty(0, np.int64)
+    def __init__(self, prior: _Prior):
+        self.prior, self.size = prior, 0
 
     def refresh(self, ids: np.ndarray) -> None:
         lanes, size = ids.shape
         self.size = size
-        table = np.sort(ids.astype(np.int32), axis=1)
-        place = np.arange(size, dtype=np.int32)
+        table = np.sort(ids.astype(np.uint16), axis=1).astype(np.int64)
+        place = np.arange(size)
+        self.ids = (table + np.arange(lanes)[:, None] * IDS).ravel()
+        self.starts = (self.prior.start.take(table) + place * _WEIGHT + np.arange(lanes)[:, None] * self.total).ravel()
         # Of each place, where the run of its id starts and ends.
         fresh = np.ones((lanes, size), bool)
         np.not_equal(table[:, 1:], table[:, :-1], out=fresh[:, 1:])
@@ -118,46 +143,39 @@ class _Order0:
         closing[:, :-1] = fresh[:, 1:]
         ends = np.where(closing, place + 1, size)
         self.end = np.minimum.accumulate(ends[:, ::-1], axis=1)[:, ::-1].ravel()
-        self.ids = table.ravel()
-        self.starts = (table + place * _WEIGHT).ravel()
 
     @property
     def total(self) -> int:
-        return IDS + _WEIGHT * self.size
-
-    def _rank(self, table: np.ndarray, lanes: np.ndarray, bound: np.ndarray) -> np.ndarray:
-        """How many entries of each lane are at most ``bound``; the size is a power of two."""
-        base = lanes * self.size
-        low = base - 1
-        step = self.size >> 1
-        while step:
-            low += (table.take(low + step) <= bound) * step
-            step >>= 1
-        low += table.take(low + 1) <= bound
-        return low - base + 1
+        return self.prior.total + _WEIGHT * self.size
 
     def interval(self, lanes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of ids in the cumulative order."""
+        start, width = self.prior.start.take(ids), self.prior.width.take(ids)
         if not self.size:
-            return ids, np.ones_like(ids)
-        upto = self._rank(self.ids, lanes, ids)
-        at = lanes * self.size + np.maximum(upto - 1, 0)
-        run = np.where(self.ids.take(at) == ids, upto - self.first.take(at), 0)
-        return ids + _WEIGHT * (upto - run), 1 + _WEIGHT * run
+            return start, width
+        keys = lanes * IDS + ids
+        below = np.searchsorted(self.ids, keys)
+        at = np.minimum(below, len(self.ids) - 1)
+        run = np.where(self.ids.take(at) == keys, self.end.take(at) - self.first.take(at), 0)
+        return start + _WEIGHT * (below - lanes * self.size), width + _WEIGHT * run
 
     def find(self, lanes: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold ``value``, with start and width."""
         if not self.size:
-            return value, value, np.ones_like(value)
-        rank = self._rank(self.starts, lanes, value)
-        at = lanes * self.size + np.maximum(rank - 1, 0)
-        seen, end = self.ids.take(at), self.end.take(at)
-        # The interval of a seen id ends one after its weights; beyond it ids were not seen.
-        inside = (rank > 0) & (value <= seen + _WEIGHT * end)
-        first = self.first.take(at)
-        ids = np.where(inside, seen, value - _WEIGHT * rank)
-        start = np.where(inside, seen + _WEIGHT * first, value)
-        return ids, start, np.where(inside, 1 + _WEIGHT * (end - first), 1)
+            ids = self.prior.find(value)
+            return ids, self.prior.start.take(ids), self.prior.width.take(ids)
+        base = lanes * self.size
+        rank = np.searchsorted(self.starts, value + lanes * self.total, side="right") - base
+        at = base + np.maximum(rank - 1, 0)
+        seen = self.ids.take(at) - lanes * IDS
+        first, end = self.first.take(at), self.end.take(at)
+        # The interval of a seen id is its own share of the prior and its weights; beyond it ids were not seen.
+        inside = (rank > 0) & (value < self.prior.start.take(seen + 1) + _WEIGHT * end)
+        ids = seen
+        unseen = np.flatnonzero(~inside)
+        ids[unseen] = self.prior.find(value[unseen] - _WEIGHT * rank[unseen])
+        start = self.prior.start.take(ids) + _WEIGHT * np.where(inside, first, rank)
+        return ids, start, self.prior.width.take(ids) + _WEIGHT * np.where(inside, end - first, 0)
 
 
 def _narrow(low, span, start, width, total):
@@ -193,11 +211,13 @@ def encode(ids: np.ndarray) -> bytes:
     lengths = _lengths(len(ids))
     lanes = len(lengths)
     grid = _matrix(ids, lanes)
+    levels = _Prior.levels(ids)
+    stored = zlib.compress(levels.tobytes(), 9)
     # At most three units a step leave the coder: two codings of 33 bits and a cut of the range each.
     out = np.zeros((lanes, 6 * min(BLOCK, max(lengths, default=0)) + 8), np.uint16)
     used = np.zeros(lanes, np.int64)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    model, order0 = _Model(lanes), _Order0(lanes)
+    model, order0 = _Model(lanes), _Order0(_Prior(levels))
 
     def settle(where: np.ndarray) -> None:
         while len(where):
@@ -214,6 +234,12 @@ def encode(ids: np.ndarray) -> bytes:
             active = lanes if step < lengths[-1] else lanes - 1
             if step >= _FIRST_TABLE and not step & (step - 1):
                 order0.refresh(grid[:, :step])
+            if not step % _FIRST_TABLE:
+                # Order 0 stays as it is for these steps: their ids at once, lane by lane.
+                since = step
+                ahead = grid[:, step : step + _FIRST_TABLE]
+                lane = np.repeat(np.arange(lanes), ahead.shape[1])
+                starts, widths = (np.ascontiguousarray(x.reshape(ahead.shape).T) for x in order0.interval(lane, ahead.ravel()))
             token = grid[:active, step]
             model.predict(active)
             by2 = model.guess2 == token
@@ -224,7 +250,7 @@ def encode(ids: np.ndarray) -> bytes:
             settle(np.flatnonzero(_is_short(low[:active], span[:active])))
             escaped = np.flatnonzero(~(by2 | by1))
             if len(escaped):
-                start, width = order0.interval(escaped, token[escaped])
+                start, width = starts[step - since].take(escaped), widths[step - since].take(escaped)
                 low[escaped], span[escaped] = _narrow(low[escaped], span[escaped], start, width, order0.total)
                 settle(escaped)
             model.learn(token, by2)
@@ -239,31 +265,39 @@ def encode(ids: np.ndarray) -> bytes:
         payloads.append(payload)
         own = grid[lane, :length].astype("<u4").tobytes()
         entries[lane] = (length, used[lane], zlib.crc32(payload), zlib.crc32(own))
-    return _HEAD.pack(MAGIC, VERSION, 0, BLOCK, lanes) + entries.tobytes() + b"".join(payloads)
+    head = _HEAD.pack(MAGIC, VERSION, 0, BLOCK, lanes, len(stored), zlib.crc32(stored))
+    return head + stored + entries.tobytes() + b"".join(payloads)
 
 
-def blocks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of a segment and its payload units, after the checks that need no decoding."""
+def blocks(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Levels of the prior, entries of a segment and its payload units, after the checks that need no decoding."""
     if len(data) < _HEAD.size:
         raise ValueError("segment is cut off")
-    magic, version, _, block, lanes = _HEAD.unpack_from(data)
+    magic, version, _, block, lanes, size, crc = _HEAD.unpack_from(data)
     if magic != MAGIC or version != VERSION or block != BLOCK:
         raise ValueError("not a segment of this format")
-    entries = np.frombuffer(data, _ENTRY, lanes, _HEAD.size)
-    at = _HEAD.size + lanes * _ENTRY.itemsize
+    start = _HEAD.size + size
+    at = start + lanes * _ENTRY.itemsize
+    if len(data) < at:
+        raise ValueError("segment is cut off")
+    stored = data[_HEAD.size : start]
+    if zlib.crc32(stored) != crc:
+        raise ValueError("frequencies of a segment are damaged")
+    entries = np.frombuffer(data, _ENTRY, lanes, start)
     if len(data) != at + 2 * int(entries["units"].sum()):
         raise ValueError("segment is cut off")
+    units = np.frombuffer(data, "<u2", int(entries["units"].sum()), at)
     for entry in entries:
         end = at + 2 * int(entry["units"])
         if zlib.crc32(data[at:end]) != int(entry["payload_crc"]):
             raise ValueError("payload of a block is damaged")
         at = end
-    return entries, np.frombuffer(data, "<u2", int(entries["units"].sum()), _HEAD.size + lanes * _ENTRY.itemsize)
+    return np.frombuffer(zlib.decompress(stored), np.uint8), entries, units
 
 
 def decode(data: bytes, only: slice = slice(None)) -> np.ndarray:
     """The ids of a segment, or of a slice of its blocks, as unsigned 32-bit numbers."""
-    entries, units = blocks(data)
+    levels, entries, units = blocks(data)
     ends = np.cumsum(entries["units"], dtype=np.int64)
     place = (ends - entries["units"])[only]
     entries = entries[only]
@@ -278,7 +312,7 @@ def decode(data: bytes, only: slice = slice(None)) -> np.ndarray:
     for _ in range(4):
         code = (code << _U16) | units[place]
         place = place + 1
-    model, order0 = _Model(lanes), _Order0(lanes)
+    model, order0 = _Model(lanes), _Order0(_Prior(levels))
 
     def settle(where: np.ndarray) -> None:
         while len(where):

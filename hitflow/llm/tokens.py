@@ -6,7 +6,8 @@ are, and their ids as a self-describing payload of independently coded, checksum
 gives atomic commits, so a lost executor leaves no half-written segment, on any file system Spark can write.
 
 The tokeniser works on one word between ASCII white space at a time and remembers words. That changes no id: its
-normaliser turns white space into a blank, its splitter drops it, and no merge crosses it.
+normaliser turns white space into a blank, its splitter drops it, and no merge crosses it. Whether a tokeniser is of
+that kind is tried out on some words at the start; texts go to any other one whole.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids come first; rows that share a doc_id are
 ordered by a hash of their texts; a document longer than a segment is a segment of its own; an empty table
@@ -55,8 +56,18 @@ class Encoder:
             raise ValueError("the vocabulary does not fit into 16 bits")
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        # What the two shortcuts rest on is tried out: words between white space stand alone, letters are lower-cased.
+        words, signs = ("Ab", "éÀz", "x1", "Straße"), ".,!?;:#$%&*|"
+        gaps = (*" \t\n\r", " \n\n ", "\t\x0b\x0c")
+        self.by_word = all(self._plain(a + gap + b) == self._plain(a) + self._plain(b) for a in words for b in words for gap in gaps)
+        self.lowers = all(self._plain(w + sign) == self._plain(w.lower()) + self._plain(sign) for w in ("ABC", "Éa") for sign in signs)
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_word:
+            return [self._plain(text or "") for text in texts]
         # bytes.split splits at ASCII white space only.
         split = [(text or "").encode("utf-8").split() for text in texts]
         fresh = {word for words in split for word in words if word not in self.known}
@@ -71,7 +82,7 @@ class Encoder:
         halves = {}
         for word in fresh:
             text = word.decode("utf-8")
-            simple = _SIMPLE.fullmatch(text)
+            simple = _SIMPLE.fullmatch(text) if self.lowers else None
             halves[word] = (simple[1].lower(), simple[2]) if simple else (text, "")
         wanted = {half for pair in halves.values() for half in pair}
         if len(self.parts) > MAX_CACHE:

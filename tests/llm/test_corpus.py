@@ -63,6 +63,28 @@ def test_coder_round_trip(ids, repeat):
     assert (coder.decode(data) == ids).all()
 
 
+def test_coded_ids_are_smaller_than_their_entropy_and_than_zlib():
+    """All documents of a table: below zlib on 16-bit ids and below order-0 entropy, header and checksums included."""
+    texts = connect("/root/testdata/sf0.01").execute("SELECT text FROM documents ORDER BY doc_id").fetchall()
+    own = tokens.Encoder(tokens.default_tokenizer())
+    ids = np.frombuffer(b"".join(x + b"\1\0" for x in own.encode([t for t, in texts])), "<u2")
+    shares = np.bincount(ids)[np.unique(ids)] / len(ids)
+    bits = 8 * len(coder.encode(ids)) / len(ids)
+    assert bits < -(shares * np.log2(shares)).sum()
+    assert bits < 8 * len(zlib.compress(ids.tobytes(), 9)) / len(ids)
+
+
+def test_tokenisers_of_another_kind_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    cased = Tokenizer(models.WordLevel({"Ab": 0, "ab": 1, " ": 2, "[UNK]": 3}, unk_token="[UNK]"))
+    cased.pre_tokenizer = pre_tokenizers.Split(" ", "isolated")
+    cased.save(str(tmp_path / "cased.json"))
+    own = tokens.Encoder(str(tmp_path / "cased.json"))
+    for text in ("Ab ab", "ab", " Ab", "x  ab", ""):
+        assert own.encode([text])[0] == np.array(cased.encode(text).ids, "<u2").tobytes()
+
+
 def test_blocks_decode_alone_and_damage_is_seen():
     ids = np.random.default_rng(3).zipf(1.5, 3 * coder.BLOCK + 7) % 4000
     data = coder.encode(ids)
