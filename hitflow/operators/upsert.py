@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hitflow.sources.staging import scratch, stage
+from hitflow.sources.tables import read_table
+
 
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | Column | None = None
@@ -33,5 +36,30 @@ def _as_column(order: str | Column) -> Column:
 
 def touched_partitions(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
     """Rows of the target in partitions the source touches; the rest need not be read or rewritten."""
-    values = source.select(partition).distinct()
-    return target.join(values, partition, "left_semi")
+    values = source.select(F.col(partition).alias("_touched")).distinct()
+    return target.join(values, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+
+
+def upsert_table(
+    source: DataFrame, path: str, keys: Sequence[str], partition: str, order_by: str | None = None
+) -> None:
+    """Upsert into a Parquet table of the source's columns, partitioned by one of the keys.
+
+    Only partitions the source has rows for are read and written; files of all others stay as they are. The table is
+    made if there is none. Doing it again with the same source changes nothing.
+    """
+    if partition not in keys:
+        raise ValueError("a row must not change its partition, so the partition column must be one of the keys")
+    spark = source.sparkSession
+    with scratch(spark):
+        fresh = stage(source, "upsert-source")
+        target = read_table(spark, path, fresh.schema)
+        # Written down before the table it was read from changes. Rows of a partition then meet in few files.
+        merged = stage(upsert(touched_partitions(target, fresh, partition), fresh, keys, order_by), "upserted")
+        (
+            merged.hint("rebalance", F.col(partition))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )

@@ -362,3 +362,4 @@ ORACLES["stream_tail_rotation"] = f"""WITH lines AS ({LINES})
 SELECT host, row_number() OVER (PARTITION BY host, file ORDER BY line_num) AS line_num, raw,
        CASE WHEN ingest_time < TIMESTAMP '2024-01-10 12:00:00' THEN 0
             WHEN ingest_time < TIMESTAMP '2024-01-20 12:00:00' THEN 1 ELSE 2 END AS poll FROM lines"""
+ORACLES["daily_upsert_table"] = ORACLES["daily_upsert"]

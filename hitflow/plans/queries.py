@@ -460,6 +460,18 @@ def daily_upsert(spark, sf_dir):
     return upsert.upsert(stored, fresh, ["date", "client_id", "sitetag_id"], order_by="hits")
 
 
+@query
+def daily_upsert_table(spark, sf_dir):
+    """The same in a stored table: only the days since the saved one are read and written again."""
+    hits = _routed(spark, sf_dir).webhits
+    noon = _saved_at() + F.make_dt_interval(F.lit(0), F.lit(12))
+    path, keys = new_location(spark, "daily-hits"), ["date", "client_id", "sitetag_id"]
+    upsert.upsert_table(rollup.daily_site_hits(hits.where(F.col("event_time") < noon)), path, keys, "date", "hits")
+    fresh = rollup.daily_site_hits(hits.where(F.col("event_time") >= _saved_at()))
+    upsert.upsert_table(fresh, path, keys, "date", "hits")
+    return spark.read.schema(fresh.schema).parquet(path)
+
+
 # --- tailing ------------------------------------------------------------------------------------
 
 

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored Parquet table; empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def widen(df: DataFrame) -> DataFrame:
@@ -44,10 +49,6 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
     """Append one batch, partitioned by day and batch. Writing a batch again replaces its own rows only."""
     stamped = df.withColumns({"event_date": F.to_date(time), "batch_id": F.lit(batch_id).cast("bigint")})
@@ -62,10 +63,4 @@ def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table written with ``write_batch``, with event_date and batch_id; empty before the first batch."""
     batch_columns = [T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())]
-    full = T.StructType([*schema.fields, *batch_columns])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+    return read_table(spark, path, T.StructType([*schema.fields, *batch_columns]))

@@ -58,6 +58,30 @@ def test_upsert_last_source_row_wins(spark):
     assert upsert.touched_partitions(target, source.limit(0), "date").count() == 0
 
 
+def test_upsert_leaves_untouched_partitions_alone(spark, tmp_path):
+    ddl, path, keys = "date date, client_id int, hits int", str(tmp_path / "t"), ["date", "client_id"]
+
+    def put(*rows):
+        source = spark.createDataFrame([(d and date(2024, 1, d), c, h) for d, c, h in rows], ddl)
+        upsert.upsert_table(source, path, keys, "date", "hits")
+
+    def files(day):
+        return sorted(f.name for f in (tmp_path / "t" / f"date=2024-01-0{day}").glob("*.parquet"))
+
+    put((1, 1, 5), (2, 1, 6), (None, 1, 7))
+    first, second = files(1), files(2)
+    for _ in range(2):
+        put((2, 1, 9), (2, 2, 1), (3, 1, 2), (2, 2, 4), (None, 2, 8))
+    rows = spark.read.schema(ddl).parquet(path).collect()
+    expected = {(1, 1, 5), (2, 1, 9), (2, 2, 4), (3, 1, 2), (None, 1, 7), (None, 2, 8)}
+    assert {(r.date and r.date.day, r.client_id, r.hits) for r in rows} == expected and len(rows) == len(expected)
+    assert first and files(1) == first and files(2) != second and len(files(2)) == 1
+    put()
+    assert files(1) == first and spark.read.parquet(path).count() == len(expected)
+    with pytest.raises(ValueError):
+        upsert.upsert_table(spark.createDataFrame([], ddl), path, ["client_id"], "date")
+
+
 def test_resume_after_rotation(spark):
     lines = spark.createDataFrame(
         [("a", f, n, f"{f}-{n}") for f in ("log-1", "log-2", "log-3") for n in (1, 2, 3)] + [("b", "log-1", 1, "x")],
