@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -166,6 +167,33 @@ def test_tiling_equals_greedy_search(item, doc):
     assert sum(n for _, _, n in made) == _greedy(item, doc, 3)
 
 
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.lists(st.sampled_from("ab"), min_size=5, max_size=16), min_size=1, max_size=4),
+    st.lists(st.sampled_from("abc"), max_size=40),
+)
+def test_run_ends_by_bisection_give_the_same_tiles(items, doc):
+    block = tiling.Block([(n, " ".join(item), 1) for n, item in enumerate(items)])
+    got = {n: covered for n, _, covered, _ in block.leaks(" ".join(doc))}
+    covers = {n: _greedy(item, doc, tiling.SEED) for n, item in enumerate(items)}
+    assert got == {n: c for n, c in covers.items() if c >= tiling.COVERAGE * len(items[n])}
+
+
+def test_one_repeated_word_stays_small():
+    block = tiling.Block([(1, "word " * 1_000, 1), (2, "left right " * 500, 1)])
+    tracemalloc.start()
+    assert block.leaks("word " * 20_000) == [(1, 1, 1_000, 1_000)]
+    assert block.leaks("right left " * 10_000) == [(2, 1, 1_000, 1_000)]
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+
+
+def test_repeated_items_are_reported_each(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(5, "a b c d e f")] * 3 + [(6, "b c d e f g")], "item_id bigint, text string")
+    assert sorted(r.item_id for r in tiling.leaks(docs, bench).collect()) == [5, 5, 5, 6]
+
+
 def test_reordered_passages_are_leaks(spark, monkeypatch):
     item = "one two three four five six seven. Eight nine ten eleven twelve thirteen fourteen."
     texts = [
