@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hitflow.operators.upsert import upsert
@@ -32,6 +34,28 @@ def high_water_mark(extracted: DataFrame, column: str, previous):
     return previous if top is None else max(previous, top)
 
 
+@dataclass(frozen=True)
+class Extract:
+    """Written rows of one extract, their number, and the mark to start the next one from."""
+
+    rows: DataFrame
+    count: int
+    mark: int
+
+
+def write_extract(source: DataFrame, column: str, after, path: str) -> Extract:
+    """Write the rows beyond a mark. The job that writes them also observes their number and the new mark.
+
+    The mark is pushed into the scan, and nothing is read a second time to learn how far the extract came.
+    """
+    seen = Observation()
+    new = incremental_extract(source, column, after)
+    new.observe(seen, F.count("*").alias("count"), F.max(column).alias("top")).write.mode("errorifexists").parquet(path)
+    found = seen.get
+    mark = after if found["top"] is None else max(after, found["top"])
+    return Extract(source.sparkSession.read.schema(source.schema).parquet(path), found["count"], mark)
+
+
 def source_maxima(sources: dict[str, DataFrame], column: str = "id") -> DataFrame:
     """Largest id per entity, one row each."""
     rows = None
@@ -63,6 +87,14 @@ def load_cursors(state: DataFrame, maxima: DataFrame, margin: int = START_MARGIN
     )
 
 
+def resumed_cursors(state: DataFrame, sources: dict[str, DataFrame], margin: int = START_MARGIN) -> dict[str, int]:
+    """The cursors of ``load_cursors`` as driver values; the sources are only looked at where no state is stored."""
+    stored = {r[0]: r[1] for r in state.where(F.col("entity_type").isin(*ENTITIES)).select("entity_type", "last_id").collect()}
+    if not stored:
+        return cursor_values(load_cursors(state, source_maxima(sources), margin))
+    return {entity: stored.get(entity) or 0 for entity in sources}
+
+
 def cursor_values(cursors: DataFrame) -> dict[str, int]:
     """The cursors as driver values (two rows), to use as pushed-down literals."""
     return {r["entity_type"]: r["last_id"] for r in cursors.collect()}

@@ -280,6 +280,11 @@ ORDER BY event_id LIMIT 500""",
     "high_water_marks": f"""WITH {TOUCHES}
 SELECT c.entity_type, c.last_id, greatest(m.max_id, c.last_id) AS new_last_id
 FROM {CURSORS} c JOIN {MAXIMA} m ON m.entity_type = c.entity_type""",
+    "extract_marks": f"""WITH {TOUCHES}, x AS (
+  SELECT 'impression' AS entity_type, id FROM imps UNION ALL SELECT 'webhit', id FROM hits)
+SELECT c.entity_type, c.last_id, count(x.id) AS new_rows, greatest(coalesce(max(x.id), c.last_id), c.last_id) AS new_last_id
+FROM {CURSORS} c LEFT JOIN x ON x.entity_type = c.entity_type AND x.id > c.last_id
+GROUP BY c.entity_type, c.last_id""",
     "cursor_upsert": f"""WITH {TOUCHES}
 SELECT entity_type, max_id AS last_id, {AS_OF} AS updated_at FROM {MAXIMA}""",
     "daily_site_hits": f"WITH {TOUCHES} {DAILY_SITE.format(source='hits')}",
@@ -313,6 +318,7 @@ ORACLES["attribute_causal_split"] = ORACLES["attribute_causal"]
 ORACLES["attribute_unbounded_split"] = ORACLES["attribute_unbounded"]
 ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_accepted_webhits"] = ORACLES["accepted_webhits"]
+ORACLES["stream_interval"] = ORACLES["accepted_webhits"]
 ORACLES["stream_unattributed"] = ORACLES["unattributed_hits"]
 ORACLES["stream_consume_queues"] = ORACLES["accepted_webhits"]
 ORACLES["stream_consume_rejects"] = f"""WITH {TOUCHES}

@@ -395,18 +395,26 @@ def cursor_resume(spark, sf_dir):
 
 @query
 def incremental_by_id(spark, sf_dir):
-    """Rows of both tables beyond their cursors, as one stream of new records."""
+    """Rows of both kinds beyond their cursors, as one stream of new records; lines before both are not read."""
+    lines = load_lines(spark, sf_dir)
+    cursors = incremental.resumed_cursors(_state(spark, sf_dir), dict.fromkeys(incremental.ENTITIES, lines))
+    new = pipeline.touches_of(incremental.incremental_extract(lines, "id", min(cursors.values())))
+    mark = F.create_map(*(F.lit(x) for pair in cursors.items() for x in pair))[F.col("category")]
+    rows = classify.accepted_of(new, "id", "event_time", "client_id", "ip").where(F.col("id") > mark)
+    return rows.select(F.col("category").alias("entity_type"), "id", "event_time", "client_id", "ip")
+
+
+@query
+def extract_marks(spark, sf_dir):
+    """Number of new rows and new cursor of each table, observed while the rows are written."""
     tables = _tables(spark, sf_dir)
-    cursors = incremental.cursor_values(
-        incremental.load_cursors(_state(spark, sf_dir), incremental.source_maxima(tables))
-    )
-    new = [
-        incremental.incremental_extract(df, "id", cursors[entity]).select(
-            F.lit(entity).alias("entity_type"), "id", "event_time", "client_id", "ip"
-        )
+    cursors = incremental.resumed_cursors(_state(spark, sf_dir), tables)
+    made = {
+        entity: incremental.write_extract(df, "id", cursors[entity], new_location(spark, f"extract-{entity}"))
         for entity, df in tables.items()
-    ]
-    return new[0].unionByName(new[1])
+    }
+    rows = [(entity, cursors[entity], extract.count, extract.mark) for entity, extract in made.items()]
+    return spark.createDataFrame(rows, "entity_type string, last_id bigint, new_rows bigint, new_last_id bigint")
 
 
 @query
@@ -617,6 +625,26 @@ def stream_accepted_webhits(spark, sf_dir):
     return attribution.AttributionTables(root).accepted(spark).drop("event_date", "batch_id")
 
 
+@query
+def stream_interval(spark, sf_dir):
+    """Accepted hits of a stream that runs at an interval while lines arrive, merging every second batch."""
+    inbox, root, checkpoint = (new_location(spark, name) for name in ("inbox", "interval", "interval-checkpoint"))
+    lines = load_lines(spark, sf_dir)
+    bounds = ["2000-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2100-01-01"]
+    lines.where("false").write.parquet(f"{inbox}/cycle=0")
+    tables = attribution.AttributionTables(root, merge_every=2)
+    waiting = spark.readStream.schema(lines.schema).parquet(f"{inbox}/cycle=*")
+    stream = attribution.attribution_stream(waiting, tables, checkpoint, once=False, interval="1 second")
+    try:
+        for cycle, (start, end) in enumerate(zip(bounds, bounds[1:]), 1):
+            arrived = lines.where(F.expr(f"ingest_time >= timestamp_ntz'{start}' and ingest_time < timestamp_ntz'{end}'"))
+            arrived.write.parquet(f"{inbox}/cycle={cycle}")
+            stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return tables.accepted(spark).drop("event_date", "batch_id")
+
+
 @query
 def stream_unattributed(spark, sf_dir):
     """Hits without an impression, kept by the stream beside the accepted ones."""

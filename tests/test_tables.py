@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as contract
 from hitflow.operators import ids, incremental, parse, tail, upsert
@@ -48,6 +49,107 @@ def test_extract_is_pushed_to_the_scan(spark, capsys):
     assert incremental.high_water_mark(events.limit(0), "event_id", 9) == 9
 
 
+def test_extract_observes_its_marks_in_the_job_that_writes(spark, tmp_path, capsys):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_id", "user_id")
+    top = events.agg(F.max("event_id")).first()[0]
+    context = spark.sparkContext
+    context.setJobGroup("extract", "extract")
+    made = incremental.write_extract(events, "event_id", top - 10, str(tmp_path / "new"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("extract")) == 1
+    assert (made.count, made.mark, made.rows.count()) == (10, top, 10)
+    none = incremental.write_extract(events, "event_id", top, str(tmp_path / "none"))
+    assert (none.count, none.mark, none.rows.count()) == (0, top, 0)
+
+
+def test_cursors_read_no_source_where_state_is_stored(spark):
+    state = spark.createDataFrame([("impression", 77, NOW)], PROCESSING_STATE)
+    assert incremental.resumed_cursors(state, dict.fromkeys(incremental.ENTITIES)) == {"impression": 77, "webhit": 0}
+    source = spark.range(5001)
+    first = incremental.resumed_cursors(state.limit(0), {"impression": source, "webhit": source.limit(0)})
+    assert first == {"impression": 4000, "webhit": 0}
+
+
+def test_incremental_query_reads_newer_lines_only(spark, monkeypatch, capsys):
+    from hitflow.plans import queries as plans
+
+    state = spark.createDataFrame([("impression", 700, NOW), ("webhit", 600, NOW)], PROCESSING_STATE)
+    monkeypatch.setattr(plans, "_state", lambda *_: state)
+    new = plans.QUERIES["incremental_by_id"](spark, SF_DIR)
+    new.explain()
+    assert "GreaterThan(event_id,600)" in capsys.readouterr().out
+    lowest = {r[0]: r[1] for r in new.groupBy("entity_type").agg(F.min("id")).collect()}
+    assert lowest["impression"] > 700 and lowest["webhit"] > 600
+
+
+def test_merged_batches_read_the_same(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("event_time", T.TimestampNTZType())])
+    path = str(tmp_path / "t")
+
+    def put(batch_id, *ids_of_days):
+        rows = [(i, datetime(2024, 1, d)) for d, i in ids_of_days]
+        tables.write_batch(spark.createDataFrame(rows, schema), path, batch_id)
+
+    def seen(days=None):
+        return sorted((r.event_date.day, r.id) for r in tables.read_batches(spark, path, schema, days).collect())
+
+    def folders():
+        return sorted(int(f.name.partition("=")[2]) for f in (tmp_path / "t").glob("event_date=*/batch_id=*"))
+
+    assert seen() == [] and seen([date(2024, 1, 1)]) == []
+    for b in range(4):
+        put(b, (1, b), (1 + b % 2, 10 + b))
+    before = seen()
+    tables.merge_batches(spark, path, schema, 2)
+    assert seen() == before and tables.finished_merges(spark, path) == [2]
+    assert seen([date(2024, 1, 2), date(2024, 1, 9)]) == [row for row in before if row[0] == 2]
+    # A batch behind the merge that runs again replaces its own rows.
+    put(3, (1, 3), (2, 13))
+    assert seen() == before
+    tables.merge_batches(spark, path, schema, 2)
+    assert seen() == before
+    # A merge that was cut off before its log was written counts for nothing, also when later ones cover more.
+    tables.merge_batches(spark, path, schema, 3)
+    (tmp_path / "t-merged-log" / "3").unlink()
+    assert seen() == before
+    put(4, (3, 4))
+    tables.merge_batches(spark, path, schema, 4)
+    assert seen() == [*before, (3, 4)] and tables.finished_merges(spark, path) == [2, 4]
+    put(5, (3, 5))
+    tables.merge_batches(spark, path, schema, 5)
+    assert seen() == [*before, (3, 4), (3, 5)] and set(folders()) == {5}
+
+
+def test_attribution_at_an_interval_bounds_its_folders(spark, tmp_path):
+    lines = load_lines(spark, SF_DIR)
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "t")
+    lines.where("false").write.parquet(f"{inbox}/part=0")
+    store = attribution.AttributionTables(root, merge_every=2)
+    day = F.to_date("ingest_time")
+    first = lines.agg(F.min(day)).first()[0]
+
+    def started():
+        waiting = spark.readStream.schema(lines.schema).parquet(f"{inbox}/part=*")
+        return attribution.attribution_stream(waiting, store, str(tmp_path / "c"), once=False, interval="1 second")
+
+    stream = started()
+    for n in range(1, 6):
+        days = F.datediff(day, F.lit(first))
+        part = lines.where((days >= 6 * (n - 1)) & (days < (6 * n if n < 5 else 10_000)))
+        part.write.parquet(f"{inbox}/part={n}")
+        stream.processAllAvailable()
+        if n == 3:
+            stream.stop()
+            stream = started()
+    stream.stop()
+    got = store.accepted(spark).select("id", "impression_id")
+    expected = contract.queries()["accepted_webhits"](spark, SF_DIR).select("id", "impression_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert tables.finished_merges(spark, f"{root}/impressions") == [1, 3]
+    batches = {int(f.name.partition("=")[2]) for f in (tmp_path / "t" / "impressions").glob("event_date=*/batch_id=*")}
+    assert min(batches) >= 2
+
+
 def test_upsert_last_source_row_wins(spark):
     ddl = "date date, client_id int, sitetag_id int, hits int"
     day = date(2024, 1, 1)
