@@ -10,7 +10,7 @@ pairs. A conversation is one row of the result, hence the unit that a task must
 
 Defined cases: turns are in order of turn (null first), then role and text; a null role or text counts as empty; rows
 with a null conv_id form one conversation; repeated rows are turns of their own; control marks inside a
-text are broken up, so that no text can open or close a turn.
+text or a role are broken up, so that neither can open or close a turn.
 """
 
 from __future__ import annotations
@@ -46,9 +46,12 @@ def maximal(hashed: DataFrame) -> DataFrame:
     return ends.join(inner, ["h1", "h2"], "left_anti").select(F.col("_first.conv_id").alias("kept_id"))
 
 
+def _broken(column: str) -> str:
+    return f"replace(replace({column}, '<|', '< |'), '|>', '| >')"
+
+
 def rendered_turn() -> str:
-    broken = "replace(replace(text, '<|', '< |'), '|>', '| >')"
-    return f"concat('{OPEN}', role, '\\n', {broken}, '{CLOSE}\\n')"
+    return f"concat('{OPEN}', {_broken('role')}, '\\n', {_broken('text')}, '{CLOSE}\\n')"
 
 
 def collapse(turns: DataFrame) -> DataFrame:
@@ -76,6 +79,6 @@ WITH turns AS (
   SELECT min(conv_id) AS conv_id FROM whole WHERE turns NOT IN (SELECT turns FROM inner_prefix) GROUP BY turns
 )
 SELECT conv_id, count(*) AS n_turns,
-  string_agg('<|im_start|>' || role || chr(10) || replace(replace(text, '<|', '< |'), '|>', '| >') || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+  string_agg('<|im_start|>' || replace(replace(role, '<|', '< |'), '|>', '| >') || chr(10) || replace(replace(text, '<|', '< |'), '|>', '| >') || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
 FROM turns WHERE conv_id IN (SELECT conv_id FROM kept) GROUP BY conv_id
 """
