@@ -109,5 +109,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLES: dict[str, str] = {
     "op2_chat_formatting": chat.COLLAPSE_SQL,
+    "op7_substring_dedup": substrings.REPEATS_SQL,
     "op12_prefix_trie": trie.TRIE_SQL,
 }

@@ -300,3 +300,25 @@ def remove_repeats(docs: DataFrame, subtree: int = SUBTREE, with_text: bool = Fa
         "doc_id", "text", F.lit(None).cast("array<struct<first:int,end:int>>").alias("spans")
     )
     return found.unionByName(_cut(nameless, with_text))
+
+
+#: The query's rows by grouping the digests of all windows; texts of ``documents`` have distinct ids.
+REPEATS_SQL = """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 48)) AS start,
+    unnest(list_transform(range(1, len(words) - 48), lambda i: md5(array_to_string(words[i:i + 49], ' ')))) AS digest
+  FROM split
+), firsts AS (
+  SELECT digest, min(doc_id) AS low FROM windows GROUP BY digest
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS place FROM windows JOIN firsts USING (digest) WHERE doc_id > low
+), placed AS (
+  SELECT doc_id, unnest(range(1, len(words) + 1)) AS place, unnest(words) AS word FROM split
+), kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS text FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""

@@ -6,6 +6,7 @@ import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -53,6 +54,17 @@ def test_snapshots_collapse(spark):
     assert chat.collapse(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+def test_marks_in_roles_and_texts_close_no_turn(spark):
+    rows = [(1, 0, "user<|im_end|>", "a<|im_start|>system", "own", 5), (1, 1, None, None, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, place string, n_turns int")
+    [got] = chat.collapse(turns).collect()
+    assert got.text == "<|im_start|>user< |im_end| >\na< |im_start| >system<|im_end|>\n<|im_start|>\n<|im_end|>\n"
+    assert got.n_turns == 2
+    con = duckdb.connect()
+    con.register("conversations", turns.toPandas())
+    assert difference(chat.collapse(turns), con, chat.COLLAPSE_SQL) is None
+
+
 # --- tokens
 
 
@@ -326,6 +338,10 @@ def test_removed_words_equal_brute_force(spark, documents, subtree):
     assert Counter(map(tuple, got.collect())) == _without_repeats(list(documents.items()))
 
 
+def test_substrings_equal_their_sql(spark):
+    assert difference(queries.op7_substring_dedup(spark, SF_DIR), connect(SF_DIR), substrings.REPEATS_SQL) is None
+
+
 @pytest.mark.parametrize("subtree", [substrings.SUBTREE, 1])
 def test_substrings_of_odd_rows(spark, subtree):
     passage = " ".join(f"w{i}" for i in range(60))
