@@ -29,7 +29,7 @@ from hitflow.plans.workload import lines_from_events, load, load_lines
 from hitflow.schemas import ENTRY, ENVELOPE, PROCESSING_STATE
 from hitflow.session import state_store
 from hitflow.sources import logs
-from hitflow.sources.staging import new_location
+from hitflow.sources.staging import new_location, stage
 from hitflow.streaming import attribution, consumers, queues, replays, stateful, tailing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,7 +329,8 @@ def dedupe_first(spark, sf_dir):
 def dedupe_against_store(spark, sf_dir):
     """Hits since the saved day that no hit stored before it rules out."""
     routed = _routed(spark, sf_dir)
-    hits = attribute.attribute_last_touch(routed.webhits, routed.impressions)
+    # Read by the store, by the search for heavy pairs and by the comparison.
+    hits = stage(attribute.attribute_last_touch(routed.webhits, routed.impressions), "attributed")
     stored = dedupe.dedupe_first(hits.where(F.col("event_time") < _saved_at()))
     return dedupe.dedupe_against_store(hits.where(F.col("event_time") >= _saved_at()), stored)
 

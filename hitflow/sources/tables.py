@@ -55,10 +55,14 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, time: str = "event_time") -> None:
-    """Append one batch, partitioned by day and batch. Writing a batch again replaces its own rows only."""
+    """Append one batch, partitioned by day and batch. Writing a batch again replaces its own rows only.
+
+    The rows of a day are brought together first, or each task would write a file for each day.
+    """
     stamped = df.withColumns({"event_date": F.to_date(time), "batch_id": F.lit(batch_id).cast("bigint")})
     (
-        stamped.write.mode("overwrite")
+        stamped.hint("rebalance", F.col("event_date"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "batch_id")
         .parquet(path)
