@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,7 +39,9 @@ OUTPUT = (
     "id bigint, event_time timestamp_ntz, client_id int, site_id int, ip string, "
     "impression_id bigint, impression_time timestamp_ntz"
 )
-_COLUMNS = ["id", "event_time", "client_id", "site_id", "ip", "impression_id", "impression_time"]
+_ACCEPTED = Row("id", "event_time", "client_id", "site_id", "ip", "impression_id", "impression_time")
+# Rows of a key that are packed at a time.
+CHUNK = 4096
 
 # Workers get this module with the task, so it need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,6 +57,16 @@ def _packed(chunk: pd.DataFrame) -> np.ndarray:
     return rows
 
 
+def _chunks(rows: Iterator[Row]) -> Iterator[np.ndarray]:
+    """Rows of one key as packed chunks."""
+    while chunk := list(islice(rows, CHUNK)):
+        packed = np.empty(len(chunk), _ROW)
+        packed["time"] = np.array([r.event_time for r in chunk], "datetime64[us]").astype(np.int64)
+        packed["is_hit"], packed["id"] = [r.is_hit for r in chunk], [r.id for r in chunk]
+        packed["site"] = [r.site_id for r in chunk]
+        yield packed
+
+
 def _stamp(time: int):
     return np.datetime64(int(time), "us").astype(object)
 
@@ -73,21 +86,27 @@ class LastTouch(StatefulProcessor):
         # One value for the whole set: its expiry is renewed for all sites together.
         self._sites = handle.getValueState("sites", "sites array<int>", ttlDurationMs=self._sites_ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        chunks = (_packed(chunk) for chunk in rows)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        chunks = _chunks(rows)
         ordered = self._in_phases(chunks) if self._order == PHASES else self._by_time(chunks)
-        last = self._last.get() if self._last.exists() else None
-        sites = set(self._sites.get()[0]) if self._sites.exists() else set()
+        # Every call to the store is a message to the JVM. What it holds is asked for by the first hit that no
+        # impression of this batch precedes, and is None where there is nothing.
+        last, sites, asked = None, set(), False
         fresh, grown, cleared = None, False, False
         accepted = []
-        for time, is_hit, id_, site in ordered:
+        for time, is_hit, id_, site in ordered.tolist():
             if not is_hit:
-                last = fresh = (int(id_), _stamp(time))
-                sites, grown, cleared = set(), False, True
-            elif last is not None and int(site) not in sites:
-                sites.add(int(site))
+                last = fresh = (id_, _stamp(time))
+                sites, grown, cleared, asked = set(), False, True, True
+                continue
+            if not asked:
+                last, asked = self._last.get(), True
+                if last is not None:
+                    sites = set((self._sites.get() or ((),))[0])
+            if last is not None and site not in sites:
+                sites.add(site)
                 grown = True
-                accepted.append((int(id_), _stamp(time), key[0], int(site), key[1], last[0], last[1]))
+                accepted.append(_ACCEPTED(id_, _stamp(time), key[0], site, key[1], last[0], last[1]))
         # Only what changed is written, because a write renews the expiry.
         if fresh is not None:
             self._last.update(fresh)
@@ -95,7 +114,7 @@ class LastTouch(StatefulProcessor):
             self._sites.update((sorted(sites),))
         elif cleared:
             self._sites.clear()
-        yield pd.DataFrame(accepted, columns=_COLUMNS)
+        return iter(accepted)
 
     @staticmethod
     def _by_time(chunks: Iterator[np.ndarray]) -> np.ndarray:
@@ -127,7 +146,8 @@ def tagged(accepted_rows: DataFrame) -> DataFrame:
 
 def attribute_stateful(rows: DataFrame, processor: LastTouch | None = None) -> DataFrame:
     """Streaming rows of ``tagged`` to accepted hits. Needs the RocksDB state store."""
-    return rows.groupBy(*KEY).transformWithStateInPandas(
+    # Rows, not frames: a frame for each key costs more than all of its rows where keys are many and small.
+    return rows.groupBy(*KEY).transformWithState(
         statefulProcessor=processor or LastTouch(), outputStructType=OUTPUT, outputMode="append", timeMode="ProcessingTime"
     )
 

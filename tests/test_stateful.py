@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 
 from hitflow.session import state_store
 from hitflow.streaming import stateful
@@ -98,3 +99,52 @@ def test_chunks_of_a_key_are_reduced_alike(size):
     firsts = [min((r for r in rows if r[4] and r[5] == site), key=lambda r: (r[3], r[2])) for site in range(6)]
     assert [int(r["id"]) for r in got[:1]] == [newest[2]]
     assert [int(r["id"]) for r in got[1:]] == [r[2] for r in sorted(firsts, key=lambda r: (r[3], r[2]))]
+
+
+class _Counted:
+    """A state variable that counts the calls it gets."""
+
+    def __init__(self, value=None):
+        self.value, self.calls = value, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+
+@pytest.mark.parametrize("order", [stateful.EVENT_ORDER, stateful.PHASES])
+@pytest.mark.parametrize("chunk", [1, 2, 4096])
+def test_store_is_asked_only_for_what_decides(order, chunk, monkeypatch):
+    """Rows in, rows out; a batch that begins with an impression reads nothing, a first hit reads each variable once."""
+    monkeypatch.setattr(stateful, "CHUNK", chunk)
+    row = Row("client_id", "ip", "id", "event_time", "is_hit", "site_id")
+
+    def run(last, sites, *rows):
+        processor = stateful.LastTouch(order)
+        processor._last, processor._sites = _Counted(last), _Counted(sites)
+        out = list(processor.handleInputRows((1, "a"), iter([row(*r) for r in rows]), None))
+        return [(r.id, r.impression_id) for r in out], processor._last, processor._sites
+
+    got, last, sites = run((9, START), ([4],), _impression(1, 0), _hit(2, 1), _hit(3, 2, site=5), _hit(4, 3))
+    assert got == [(2, 1), (3, 1)] and (last.calls, sites.calls) == (1, 1)
+    assert last.value == (1, START) and sites.value == ([4, 5],)
+    got, last, sites = run((9, START), ([4],), _hit(2, 1), _hit(3, 2, site=5))
+    assert got == [(3, 9)] and (last.calls, sites.calls) == (1, 2) and sites.value == ([4, 5],)
+    got, last, sites = run((9, START), None, _hit(2, 1))
+    assert got == [(2, 9)] and sites.value == ([4],)
+    got, last, sites = run(None, None, _hit(2, 1), _hit(3, 2))
+    assert got == [] and (last.calls, sites.calls) == (1, 0)
+    got, last, sites = run((9, START), ([4],), _impression(1, 0))
+    assert got == [] and last.value == (1, START) and sites.value is None
