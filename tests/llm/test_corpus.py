@@ -304,6 +304,15 @@ def test_cutoffs_are_the_smallest_proven_ones(spark):
     assert few.count() == 0  # too few labels prove nothing
 
 
+def test_cutoffs_count_every_labelled_document(spark):
+    rows = spark.range(66_000).selectExpr("id as doc_id", "int(id % 3 > 0) as good")
+    counts = ("100L as n_words", "600L as word_chars", "0L as n_dup_lines", "0L as n_repeat_words", "1L as n_lines")
+    measured = rows.selectExpr("doc_id", "'en' as stratum", *counts, "if(good = 0, 5 + doc_id % 40, 0L) as n_symbols")
+    labels = rows.selectExpr("doc_id", "good as quality")
+    cuts = {r.measure: r for r in quality.cutoffs(measured, labels).collect()}
+    assert cuts["symbols"].n == 44_000
+
+
 def test_counts_of_texts_with_any_edge(spark):
     edges = ["\t", "\n", "\x0b", "\f", "\r", " ", *"fntrb", "\x1c", "\x85", "\xa0", ""]
     texts = [a + "foo bar half" + b for a in edges for b in edges] + ["f " * 60, "\f\x0b", "f", " f", "b\\f"]
