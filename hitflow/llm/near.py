@@ -13,12 +13,16 @@
    soon as all their buckets are in one component. Pairs of a round are at most 32 for each member.
 5. Components take the smallest doc_id as label, by label spreading with pointer jumping over written tables.
 
-Two sets with similarity 0.8 share no first band with probability (1 - 0.8 ** 4) ** 32, about 5e-8, and no fresh band of
-three rounds with (1 - 0.8 ** 8) ** 96, about 2e-8. A pair that shares a bucket is linked through its centre or tested in
-another one; a link could only be lost if neither happened in any of its buckets. Tests compare with brute
-force. ``exhaustive`` goes on, after the rounds, by the rare shingles of what is left, with more stars in each round until
-every bucket is in one component or all pairs across components were tested; that takes quadratic time in
-groups whose members are all just below the similarity.
+6. What hashing may have missed is settled exactly, on whole sets. A set of n shingles with at least
+   n - ceil(0.8 n) + 1 of them in no other component has no similar set outside its own; the shingles of the lowest
+   ``LOW`` share of hash values suffice to show that for most. The others meet by their rare shingles, where similar sets
+   share one of the n - ceil(0.8 n) + 1 rarest. Their pairs are tested with more stars in each round, until every bucket
+   is in one component or all its pairs across components were tested. That takes quadratic time in groups
+   whose members are all just below the similarity, spread over tasks.
+
+Steps 3 and 4 alone (``exhaustive=False``) lose a link with small probability: two sets with similarity 0.8 share no first
+band with probability (1 - 0.8 ** 4) ** 32, more where few shingles fall together in bins, and a pair may meet only
+where neither is the centre or linked to it.
 
 Defined cases: a null or blank text has no shingles and is linked with nothing; fewer words than a shingle form
 one shingle; rows that share a doc_id count as one document, linked through any of them with whichever text; a null
@@ -44,13 +48,18 @@ BANDS = BINS // ROWS
 PERCENT = 80
 # Entries, entries of a band, and number of the rounds of fresh bands.
 FRESH_BINS, FRESH_ROWS, ROUNDS = 256, 8, 3
+# Share of all hash values whose shingles are counted to settle sets; any share gives the same links.
+LOW = 0.35
+LOW_END = np.uint64(int(LOW * 2**64))
+# Documents of an Arrow batch that are worked on and handed on at a time.
+SLICE = 1000
 # Stars of a bucket grow by this factor from round to round of the exhaustive search.
 WIDER = 16
 
 #: Longs of a sketch: four bits of each entry.
 SKETCH = BINS * 4 // 64
 
-SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>"
+SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>, low array<bigint>"
 
 
 def shingles(text: str | None, size: int, cache: words.WordHashes) -> np.ndarray:
@@ -93,6 +102,12 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.empty(0, np.int64)])))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def sketch(entries: np.ndarray) -> np.ndarray:
     """Four bits of each entry, packed into longs."""
     nibbles = (words.mix(entries) >> np.uint64(60)).reshape(SKETCH, 16)
@@ -113,13 +128,13 @@ def too_far(a: str, b: str, least: str) -> str:
 
 
 def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id, size of the shingle set, its 128-bit digest and its band keys; one pass, no shuffle."""
+    """doc_id, size of the shingle set, its 128-bit digest, its band keys and its lowest shingles; one pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, orders = words.WordHashes(), _orders()
         none = np.empty(0, np.int64)
-        for batch in batches:
-            counts, digests, bands, sketches = [], [], [], []
+        for batch in _slices(batches):
+            counts, digests, bands, sketches, lows = [], [], [], [], []
             for text in batch.column(1):
                 members = shingles(text.as_py(), size, cache)
                 counts.append(len(members))
@@ -127,11 +142,12 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
                 entries = signature(members, orders) if len(members) else None
                 bands.append(none if entries is None else band_keys(entries))
                 sketches.append(none if entries is None else sketch(entries))
+                lows.append(words.signed(members[: np.searchsorted(members, LOW_END)].copy()))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
-                 _lists(bands), _lists(sketches)],
-                ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch"],
+                 _lists(bands), _lists(sketches), _lists(lows)],
+                ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch", "low"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNATURE)
@@ -142,7 +158,7 @@ def shingle_sets(docs: DataFrame, size: int = 4) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = words.WordHashes()
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [words.signed(shingles(text.as_py(), size, cache)) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["doc_id", "members"])
 
@@ -207,8 +223,10 @@ def _stars(buckets: DataFrame, used: DataFrame | None, width: int) -> DataFrame:
 class _Links:
     """Pairs tested and links found so far, as written tables, and the components of the links."""
 
-    def __init__(self, sets: DataFrame, nothing: DataFrame):
-        self.sets, self.tested, self.links, self.found = sets, None, None, nothing
+    def __init__(self, nothing: DataFrame):
+        # Whole sets of the documents whose pairs are tested next.
+        self.sets: DataFrame | None = None
+        self.tested, self.links, self.found = None, None, nothing
 
     def test(self, pairs: DataFrame) -> None:
         """Confirms those of the pairs (a, b) that were not tested yet."""
@@ -236,7 +254,7 @@ def _similar_size(n: str, other: str) -> str:
 
 
 def linked_components(
-    docs: DataFrame, signed: DataFrame, size: int = 4, rounds: int = ROUNDS, exhaustive: bool = False
+    docs: DataFrame, signed: DataFrame, size: int = 4, rounds: int = ROUNDS, exhaustive: bool = True
 ) -> DataFrame:
     """node and component of every class representative that has a link. ``signed`` is a written table."""
     # One row of each class; a row is named by half its digest, which by chance may only add candidates.
@@ -244,26 +262,38 @@ def linked_components(
         signed.join(_classes(signed), ["d1", "d2"])
         .where("doc_id = rep")
         .dropDuplicates(["d1", "d2"])
-        .select("d1", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "sketch"),
+        .select("d1", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "sketch", "low"),
         "near-classes",
     )
+    state = _Links(reps.select("node", F.col("node").alias("component")).where("false"))
+    _hashed_links(docs, reps, state, size, rounds)
+    if exhaustive:
+        left = stage(_unsettled(reps, state), "near-unsettled")
+        if not left.isEmpty():
+            state.sets = _sets_of(docs, left, size)
+            _test_the_rest(left, state)
+    return state.found
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    involved = nodes.select(F.col("node").alias("doc_id")).distinct()
+    return stage(shingle_sets(docs.join(involved, "doc_id", "left_semi"), size), "near-sets")
+
+
+def _hashed_links(docs: DataFrame, reps: DataFrame, state: _Links, size: int, rounds: int) -> None:
+    """Links between members of common buckets, of the first bands and of the rounds of fresh ones."""
     keys = reps.select(F.explode("bands").alias("key"), "d1")
     # Most keys are of one document only; sketches join those that share a key, not every key.
     shared = stage(keys.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "near-shared")
     buckets = stage(keys.join(shared, "key"), "near-keys")
     degrees = buckets.groupBy("d1").agg(F.sum("_c").alias("degree"))
-    open_buckets = stage(
-        buckets.drop("_c").join(degrees, "d1").join(reps.drop("bands"), "d1").drop("d1").withColumn("component", F.col("node")),
-        "near-buckets",
-    )
+    members = reps.drop("bands", "low").withColumn("component", F.col("node"))
+    open_buckets = stage(buckets.drop("_c").join(degrees, "d1").join(members, "d1").drop("d1"), "near-buckets")
     if open_buckets.isEmpty():
-        return open_buckets.select("node", "component")
-    involved = open_buckets.select(F.col("node").alias("doc_id")).distinct()
-    sets = stage(shingle_sets(docs.join(involved, "doc_id", "left_semi"), size), "near-sets")
-    state = _Links(sets, open_buckets.select("node", "component").where("false"))
+        return
+    sets = state.sets = _sets_of(docs, open_buckets, size)
     state.test(_star_pairs(open_buckets, stage(_stars(open_buckets, None, 1), "near-stars")))
-    open_buckets = stage(_unresolved(state.named(open_buckets), None), "near-buckets")
-    left = stage(open_buckets.select("node", "component").distinct(), "near-open")
+    left = stage(_unresolved(state.named(open_buckets), None).select("node", "component").distinct(), "near-open")
     for number in range(1, rounds + 1):
         if left.isEmpty():
             break
@@ -271,9 +301,21 @@ def linked_components(
         dealt = stage(own.select("node", "n", F.explode("keys").alias("key")).join(left, "node"), "near-fresh")
         state.test(_fresh_pairs(dealt))
         left = stage(_unresolved(state.named(dealt), None).select("node", "component").distinct(), "near-open")
-    if exhaustive:
-        _test_the_rest(stage(_unresolved(state.named(open_buckets), None), "near-buckets"), state)
-    return state.found
+
+
+def _unsettled(reps: DataFrame, state: _Links) -> DataFrame:
+    """Representatives that could have a similar set in another component: node, n, sketch, component and degree.
+
+    A similar set shares all but n - ceil(0.8 n) shingles. Who has more that occur in its own component only, among those
+    of low hash value, is done with.
+    """
+    named = state.named(reps.drop("bands").withColumn("component", F.col("node")))
+    entries = named.select("d1", "component", F.explode("low").alias("key"))
+    spread = entries.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
+    met = entries.join(stage(spread.select("key"), "near-spread"), "key").groupBy("d1").agg(F.count("*").alias("degree"))
+    alone = f"size(low) - degree > n - ({PERCENT}L * n + 99) div 100"
+    counted = named.join(met, "d1", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    return counted.where(f"not ({alone})").select("node", "n", "sketch", "component", "degree")
 
 
 def _fresh_pairs(dealt: DataFrame) -> DataFrame:
@@ -285,25 +327,21 @@ def _fresh_pairs(dealt: DataFrame) -> DataFrame:
     return pairs.select(*_pair("node", "centre")).distinct()
 
 
-def _star_pairs(buckets: DataFrame, stars: DataFrame) -> DataFrame:
-    return (
-        buckets.join(stars, "key")
-        .where(f"component <> _cc and {_similar_size('n', '_nc')}")
-        .where(f"not ({too_far('sketch', '_cs', 'least(n, _nc)')})")
-        .select(*_pair("node", "centre"))
-        .distinct()
-    )
+def _star_pairs(buckets: DataFrame, stars: DataFrame, sketched: bool = True) -> DataFrame:
+    """Members with the centres of their buckets; ``sketched`` leaves out those whose sketches are too far apart."""
+    pairs = buckets.join(stars, "key").where(f"component <> _cc and {_similar_size('n', '_nc')}")
+    if sketched:
+        pairs = pairs.where(f"not ({too_far('sketch', '_cs', 'least(n, _nc)')})")
+    return pairs.select(*_pair("node", "centre")).distinct()
 
 
-def _test_the_rest(open_buckets: DataFrame, state: _Links) -> None:
+def _test_the_rest(members: DataFrame, state: _Links) -> None:
     """All pairs across components that share a rare shingle, star by star."""
-    if open_buckets.isEmpty():
-        return
-    open_buckets = stage(_unresolved(state.named(_by_rare_shingles(open_buckets, state.sets)), None), "near-buckets")
+    open_buckets = stage(_unresolved(state.named(_by_rare_shingles(members, state.sets)), None), "near-buckets")
     used, width = None, 1
     while not open_buckets.isEmpty():
         stars = stage(_stars(open_buckets, used, width), "near-stars")
-        state.test(_star_pairs(open_buckets, stars))
+        state.test(_star_pairs(open_buckets, stars, sketched=False))
         centres = stars.select("key", F.col("centre").alias("node"))
         used = centres if used is None else used.union(centres)
         open_buckets = stage(_unresolved(state.named(open_buckets), used), "near-buckets")
@@ -320,15 +358,15 @@ def _unresolved(buckets: DataFrame, used: DataFrame | None) -> DataFrame:
     return left.join(alive, "key", "left_semi")
 
 
-def _by_rare_shingles(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members of unresolved buckets, dealt anew by their rare shingles.
+def _by_rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members (node, n, sketch, component, degree) dealt to buckets by their rare shingles.
 
     Two sets of the similarity asked for share at least one of the n - ceil(0.8 n) + 1 rarest shingles of each, in
-    one order for all. Members that only have a common passage in common do not meet here, so what is left of
-    a large bucket falls apart, and no similar pair is lost.
+    one order for all. Members that only have a common passage in common do not meet here, and no similar
+    pair is lost.
     """
     # A doc_id may stand for several sets; each keeps its size and sketch.
-    members = buckets.dropDuplicates(["node", "n", "sketch"]).drop("key")
+    members = members.dropDuplicates(["node", "n", "sketch"])
     each = sets.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(
         F.col("doc_id").alias("node"), F.size("members").cast("bigint").alias("n"), F.explode("members").alias("key")
     )
@@ -348,7 +386,7 @@ def _classes(signed: DataFrame) -> DataFrame:
     return signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, rounds: int = ROUNDS, exhaustive: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 4, rounds: int = ROUNDS, exhaustive: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     signed = stage(signatures(docs, size), "near-signatures")
     with scratch(docs.sparkSession):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from hitflow.llm import chat, coder, mixing, near, quality, queries, substrings, tiling, tokens
 from hitflow.session import shared_dir
+from hitflow.sources.staging import stage
 from tests.oracle import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -533,6 +534,22 @@ def test_links_around_the_threshold_are_found(spark, exhaustive):
     assert sum(got[d] == c for d, c in expected.items()) >= (1.0 if exhaustive else 0.99) * len(expected)
 
 
+@pytest.mark.parametrize("size", [4, corpus_pipeline.SHINGLE])
+def test_links_that_hashing_misses_are_found(spark, size):
+    """Without any band no bucket forms; every link above the threshold is found all the same, and no other."""
+    rng = np.random.default_rng(21)
+    texts = ["a b c d e f g h i j", "a b c d e f g h i j k", "x a b c d e f g h i j k", "p q r s t u", "p q r s t u v", "a b", None]
+    for group in range(3):
+        base = [f"g{group}w{i}" for i in range(120)]
+        texts += [" ".join(base), *_varied(rng, base, 6, 2), *_varied(rng, base, 6, 4), " ".join(base[:60] + [f"o{group}{i}" for i in range(60)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    signed = stage(near.signatures(df, size).withColumn("bands", F.array().cast("array<bigint>")), "no-bands")
+    got = {r.node: r.component for r in near.linked_components(df, signed, size).collect()}
+    expected = _components(_shingle_sets(list(enumerate(texts)), size))
+    assert any(d != c for d, c in expected.items())
+    assert {d: got.get(d, d) for d in expected} == expected
+
+
 def test_a_common_passage_makes_few_pairs(spark, monkeypatch):
     """One passage in 2,000 documents: pairs stay below members times bands."""
     rng = np.random.default_rng(9)
