@@ -692,10 +692,12 @@ def stream_replayed_lines(spark, sf_dir):
     """Impressions stored by a stream that gets every line twice, the second time in another order and later."""
     folder = new_location(spark, "replayed")
     lines = load_lines(spark, sf_dir)
+    # As many files as keep the cluster busy, in three micro-batches whatever their number.
+    parts = (spark.sparkContext.defaultParallelism + 1) // 2
     for times in (3, 2):
-        lines.repartition(times, F.xxhash64("id", F.lit(times))).write.mode("append").parquet(folder)
+        lines.repartition(times * parts, F.xxhash64("id", F.lit(times))).write.mode("append").parquet(folder)
     root, checkpoint = new_location(spark, "tables"), new_location(spark, "tables-checkpoint")
-    again = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    again = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2 * parts).parquet(folder)
     with state_store(spark, drain=True):
         _drained(attribution.attribution_stream(replays.once_only(again, horizon="60 days"), root, checkpoint))
     return attribution.AttributionTables(root).impressions(spark).drop("event_date", "batch_id")
