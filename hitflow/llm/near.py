@@ -183,8 +183,13 @@ def fresh_bands(sets: DataFrame, number: int) -> DataFrame:
     return sets.select("doc_id", "members").mapInArrow(run, "node bigint, n bigint, keys array<bigint>")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Smallest node reachable from each node of ``edges`` (a, b), as node and component."""
+def components(edges: DataFrame, outer: int = 0) -> DataFrame:
+    """Smallest node reachable from each node of ``edges`` (a, b), as node and component; a table as ``stage`` writes it."""
+    with scratch(edges.sparkSession):
+        return stage(_spread_labels(edges), "near-components", outer=outer + 1)
+
+
+def _spread_labels(edges: DataFrame) -> DataFrame:
     both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "near-edges")
     labels = stage(both.groupBy("a").agg(F.min("b").alias("_b")).select(F.col("a").alias("node"), F.least("a", "_b").alias("component")), "near-labels")
     while True:
@@ -214,14 +219,14 @@ def _stars(buckets: DataFrame, used: DataFrame | None, width: int) -> DataFrame:
     """The next ``width`` centres of each bucket, best connected first: key, centre, its set size and component."""
     left = buckets if used is None else buckets.join(used, ["key", "node"], "left_anti")
     best = F.row_number().over(W.partitionBy("key").orderBy(F.desc("degree"), "node"))
+    sketches = [F.col("sketch").alias("_cs")] if "sketch" in left.columns else []
     return left.withColumn("_rank", best).where(F.col("_rank") <= width).select(
-        "key", F.col("node").alias("centre"), F.col("n").alias("_nc"), F.col("component").alias("_cc"),
-        F.col("sketch").alias("_cs"),
+        "key", F.col("node").alias("centre"), F.col("n").alias("_nc"), F.col("component").alias("_cc"), *sketches,
     )
 
 
 class _Links:
-    """Pairs tested and links found so far, as written tables, and the components of the links."""
+    """Pairs tested and links found so far, as written tables that outlive one scratch, and the components of the links."""
 
     def __init__(self, nothing: DataFrame):
         # Whole sets of the documents whose pairs are tested next.
@@ -232,12 +237,12 @@ class _Links:
         """Confirms those of the pairs (a, b) that were not tested yet."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "near-pairs")
+        pairs = stage(pairs, "near-pairs", outer=1)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        fresh = stage(_confirmed(pairs, self.sets), "near-links")
+        fresh = stage(_confirmed(pairs, self.sets), "near-links", outer=1)
         if not fresh.isEmpty():
             self.links = fresh if self.links is None else self.links.union(fresh)
-            self.found = components(self.links)
+            self.found = components(self.links, outer=1)
 
     def named(self, rows: DataFrame) -> DataFrame:
         """Rows (node, component, ...) with the components of now."""
@@ -259,19 +264,25 @@ def linked_components(
     """node and component of every class representative that has a link. ``signed`` is a written table."""
     # One row of each class; a row is named by half its digest, which by chance may only add candidates.
     reps = stage(
-        signed.join(_classes(signed), ["d1", "d2"])
+        signed.withColumn("n_low", F.size("low"))
+        .drop("low")
+        .join(_classes(signed), ["d1", "d2"])
         .where("doc_id = rep")
         .dropDuplicates(["d1", "d2"])
-        .select("d1", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands", "sketch", "low"),
+        .select("d1", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "n_low", "bands", "sketch"),
         "near-classes",
     )
     state = _Links(reps.select("node", F.col("node").alias("component")).where("false"))
-    _hashed_links(docs, reps, state, size, rounds)
+    # Buckets and sets are many times the size of the links, so those of one step go before the next begins.
+    with scratch(docs.sparkSession):
+        _hashed_links(docs, reps, state, size, rounds)
     if exhaustive:
-        left = stage(_unsettled(reps, state), "near-unsettled")
-        if not left.isEmpty():
-            state.sets = _sets_of(docs, left, size)
-            _test_the_rest(left, state)
+        with scratch(docs.sparkSession):
+            left = stage(_unsettled(reps, signed, state), "near-unsettled", outer=1)
+        with scratch(docs.sparkSession):
+            if not left.isEmpty():
+                state.sets = _sets_of(docs, left, size)
+                _test_the_rest(left, state)
     return state.found
 
 
@@ -287,7 +298,7 @@ def _hashed_links(docs: DataFrame, reps: DataFrame, state: _Links, size: int, ro
     shared = stage(keys.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "near-shared")
     buckets = stage(keys.join(shared, "key"), "near-keys")
     degrees = buckets.groupBy("d1").agg(F.sum("_c").alias("degree"))
-    members = reps.drop("bands", "low").withColumn("component", F.col("node"))
+    members = reps.drop("bands", "n_low").withColumn("component", F.col("node"))
     open_buckets = stage(buckets.drop("_c").join(degrees, "d1").join(members, "d1").drop("d1"), "near-buckets")
     if open_buckets.isEmpty():
         return
@@ -303,19 +314,34 @@ def _hashed_links(docs: DataFrame, reps: DataFrame, state: _Links, size: int, ro
         left = stage(_unresolved(state.named(dealt), None).select("node", "component").distinct(), "near-open")
 
 
-def _unsettled(reps: DataFrame, state: _Links) -> DataFrame:
-    """Representatives that could have a similar set in another component: node, n, sketch, component and degree.
+def _unsettled(reps: DataFrame, signed: DataFrame, state: _Links) -> DataFrame:
+    """Representatives that could have a similar set in another component: node, n, component and degree.
 
     A similar set shares all but n - ceil(0.8 n) shingles. Who has more that occur in its own component only, among those
     of low hash value, is done with.
     """
-    named = state.named(reps.drop("bands").withColumn("component", F.col("node")))
-    entries = named.select("d1", "component", F.explode("low").alias("key"))
-    spread = entries.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi")
-    met = entries.join(stage(spread.select("key"), "near-spread"), "key").groupBy("d1").agg(F.count("*").alias("degree"))
-    alone = f"size(low) - degree > n - ({PERCENT}L * n + 99) div 100"
-    counted = named.join(met, "d1", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-    return counted.where(f"not ({alone})").select("node", "n", "sketch", "component", "degree")
+    by_key, by_class = W.partitionBy("key"), W.partitionBy("d1")
+    # Most shingles are of one class. All go through one shuffle, those of several classes alone go further.
+    entries = signed.where("n_shingles > 0 and doc_id is not null").select("d1", F.explode("low").alias("key"))
+    several = F.min("d1").over(by_key) != F.max("d1").over(by_key)
+    shared = stage(entries.withColumn("_several", several).where("_several").select("key", "d1").distinct(), "near-spread")
+    named = state.named(reps.select("d1", "node", "n", "n_low").withColumn("component", F.col("node")))
+    apart = F.min("component").over(by_key) != F.max("component").over(by_key)
+    met = (
+        shared.join(named.select("d1", "component"), "d1")
+        .withColumn("_apart", apart)
+        .where("_apart")
+        .groupBy("d1")
+        .agg(F.count("*").alias("degree"))
+    )
+    # Classes that by chance have one name are never done with here.
+    counted = (
+        named.withColumn("_names", F.count("*").over(by_class))
+        .join(met, "d1", "left")
+        .withColumn("degree", F.coalesce("degree", F.lit(0)))
+    )
+    alone = f"n_low - degree > n - ({PERCENT}L * n + 99) div 100"
+    return counted.where(f"_names > 1 or not ({alone})").select("node", "n", "component", "degree")
 
 
 def _fresh_pairs(dealt: DataFrame) -> DataFrame:
@@ -359,20 +385,20 @@ def _unresolved(buckets: DataFrame, used: DataFrame | None) -> DataFrame:
 
 
 def _by_rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members (node, n, sketch, component, degree) dealt to buckets by their rare shingles.
+    """The members (node, n, component, degree) dealt to buckets by their rare shingles.
 
     Two sets of the similarity asked for share at least one of the n - ceil(0.8 n) + 1 rarest shingles of each, in
     one order for all. Members that only have a common passage in common do not meet here, and no similar
     pair is lost.
     """
-    # A doc_id may stand for several sets; each keeps its size and sketch.
-    members = members.dropDuplicates(["node", "n", "sketch"])
-    each = sets.join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(
+    # A doc_id may stand for several sets; each keeps its size.
+    members = members.dropDuplicates(["node", "n"])
+    each = sets.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
         F.col("doc_id").alias("node"), F.size("members").cast("bigint").alias("n"), F.explode("members").alias("key")
     )
-    counts = each.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1")
     listed = (
-        each.join(counts, "key")
+        each.withColumn("_c", F.count("*").over(W.partitionBy("key")))
+        .where("_c > 1")
         .groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("_c", "key"))).alias("_shared"))
         .join(members, ["node", "n"])
@@ -390,7 +416,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, rounds: int = ROUNDS, exhaus
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     signed = stage(signatures(docs, size), "near-signatures")
     with scratch(docs.sparkSession):
-        found = stage(linked_components(docs, signed, size, rounds, exhaustive), "near-components", keep=True)
+        found = stage(linked_components(docs, signed, size, rounds, exhaustive), "near-found", keep=True)
     # A document belongs to its class, and through any of its rows to the component of the class.
     own = signed.join(_classes(signed), ["d1", "d2"]).select("doc_id", "rep").distinct()
     labels = (

@@ -1,6 +1,7 @@
 """Ids, cursors, upserts, tailing, sources and multi-batch streams."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ import __spark_entry__ as contract
 from hitflow.operators import ids, incremental, parse, tail, upsert
 from hitflow.plans.workload import load_lines
 from hitflow.schemas import PROCESSING_STATE
-from hitflow.sources import logs, queues, tables
+from hitflow.sources import logs, queues, staging, tables
 from hitflow.streaming import attribution
 from hitflow.streaming import queues as stream_queues
 
@@ -317,3 +318,18 @@ def test_late_batches_accept_no_second_hit(spark, tmp_path):
     accepted = tables.accepted(spark)
     assert accepted.count() > 0
     assert accepted.groupBy("client_id", "ip", "impression_id", "site_id").count().where("count > 1").isEmpty()
+
+
+def test_staged_tables_leave_no_shuffle_files_and_end_with_their_scratch(spark):
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    folder = lambda table: Path(table.inputFiles()[0].removeprefix("file:")).parent
+    before = files()
+    with staging.scratch(spark):
+        with staging.scratch(spark):
+            inner = staging.stage(spark.range(1000).repartition(3, "id"), "inner")
+            outer = staging.stage(inner.groupBy("id").count(), "outer", outer=1)
+            assert files() <= before
+            gone, there = folder(inner), folder(outer)
+        assert not gone.exists() and outer.count() == 1000
+    assert not there.exists()
