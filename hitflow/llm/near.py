@@ -17,8 +17,9 @@
    n - ceil(0.8 n) + 1 of them in no other component has no similar set outside its own; the shingles of the lowest
    ``LOW`` share of hash values suffice to show that for most. The others meet by their rare shingles, where similar sets
    share one of the n - ceil(0.8 n) + 1 rarest. Their pairs are tested with more stars in each round, until every bucket
-   is in one component or all its pairs across components were tested. That takes quadratic time in groups
-   whose members are all just below the similarity, spread over tasks.
+   is in one component or all its pairs across components were tested. Pairs that the place of the shingle or the
+   parities of the sets rule out are not. That takes quadratic time in groups whose members are all just below the
+   similarity, spread over tasks.
 
 Steps 3 and 4 alone (``exhaustive=False``) lose a link with small probability: two sets with similarity 0.8 share no first
 band with probability (1 - 0.8 ** 4) ** 32, more where few shingles fall together in bins, and a pair may meet only
@@ -58,6 +59,8 @@ WIDER = 16
 
 #: Longs of a sketch: four bits of each entry.
 SKETCH = BINS * 4 // 64
+#: Bits of a set's parity: whether the number of members that fall on each bit is odd.
+PARITY = 512
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>, low array<bigint>"
 
@@ -153,16 +156,39 @@ def signatures(docs: DataFrame, size: int = 4) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SIGNATURE)
 
 
+def parity(members: np.ndarray) -> np.ndarray:
+    """Bits of a set, packed into longs; those of two sets differ in no more places than the sets have members apart."""
+    odd = np.bincount((members & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def out_of_reach() -> str:
+    """Whether two members (n, at, parity) and (_nc, _at, _parity) of a bucket cannot be similar; no similar pair is.
+
+    Similar sets share P (n + _nc) / (100 + P) shingles or more. Those they share stand, rarest first, at or behind the
+    first one they share; ``at`` is the place of the bucket's shingle in either set. Some bucket of the pair is that of the
+    first. All others are apart, and parities differ in no more places.
+    """
+    apart = " + ".join(f"bit_count(parity[{i}] ^ _parity[{i}])" for i in range(PARITY // 64))
+    return (
+        f"({100 + PERCENT}L * least(n - at, _nc - _at) < {PERCENT}L * (n + _nc)"
+        f" or {100 + PERCENT}L * ({apart}) > {100 - PERCENT}L * (n + _nc))"
+    )
+
+
 def shingle_sets(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id and its whole shingle set."""
+    """doc_id, its whole shingle set and the parity of that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = words.WordHashes()
         for batch in _slices(batches):
-            sets = [words.signed(shingles(text.as_py(), size, cache)) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], ["doc_id", "members"])
+            sets = [shingles(text.as_py(), size, cache) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _lists([words.signed(found) for found in sets]), _lists([parity(found) for found in sets])],
+                ["doc_id", "members", "parity"],
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, members array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, members array<bigint>, parity array<bigint>")
 
 
 def fresh_bands(sets: DataFrame, number: int) -> DataFrame:
@@ -217,11 +243,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _stars(buckets: DataFrame, used: DataFrame | None, width: int) -> DataFrame:
     """The next ``width`` centres of each bucket, best connected first: key, centre, its set size and component."""
-    left = buckets if used is None else buckets.join(used, ["key", "node"], "left_anti")
+    left = buckets if used is None else buckets.join(used, used.columns, "left_anti")
     best = F.row_number().over(W.partitionBy("key").orderBy(F.desc("degree"), "node"))
-    sketches = [F.col("sketch").alias("_cs")] if "sketch" in left.columns else []
+    more = [F.col(name).alias(f"_{name}") for name in ("sketch", "set", "at", "parity") if name in left.columns]
     return left.withColumn("_rank", best).where(F.col("_rank") <= width).select(
-        "key", F.col("node").alias("centre"), F.col("n").alias("_nc"), F.col("component").alias("_cc"), *sketches,
+        "key", F.col("node").alias("centre"), F.col("n").alias("_nc"), F.col("component").alias("_cc"), *more,
     )
 
 
@@ -354,10 +380,10 @@ def _fresh_pairs(dealt: DataFrame) -> DataFrame:
 
 
 def _star_pairs(buckets: DataFrame, stars: DataFrame, sketched: bool = True) -> DataFrame:
-    """Members with the centres of their buckets; ``sketched`` leaves out those whose sketches are too far apart."""
+    """Members with the centres of their buckets; ``sketched`` leaves out those whose sketches are too far apart, else those
+    that cannot be similar."""
     pairs = buckets.join(stars, "key").where(f"component <> _cc and {_similar_size('n', '_nc')}")
-    if sketched:
-        pairs = pairs.where(f"not ({too_far('sketch', '_cs', 'least(n, _nc)')})")
+    pairs = pairs.where("not " + (f"({too_far('sketch', '_sketch', 'least(n, _nc)')})" if sketched else out_of_reach()))
     return pairs.select(*_pair("node", "centre")).distinct()
 
 
@@ -368,7 +394,7 @@ def _test_the_rest(members: DataFrame, state: _Links) -> None:
     while not open_buckets.isEmpty():
         stars = stage(_stars(open_buckets, used, width), "near-stars")
         state.test(_star_pairs(open_buckets, stars, sketched=False))
-        centres = stars.select("key", F.col("centre").alias("node"))
+        centres = stars.select("key", F.col("centre").alias("node"), F.col("_set").alias("set"))
         used = centres if used is None else used.union(centres)
         open_buckets = stage(_unresolved(state.named(open_buckets), used), "near-buckets")
         width *= WIDER
@@ -380,32 +406,37 @@ def _unresolved(buckets: DataFrame, used: DataFrame | None) -> DataFrame:
     left = buckets.join(spread.select("key"), "key", "left_semi")
     if used is None:
         return left
-    alive = buckets.join(used, ["key", "node"], "left_anti").select("key").distinct()
+    alive = buckets.join(used, used.columns, "left_anti").select("key").distinct()
     return left.join(alive, "key", "left_semi")
 
 
 def _by_rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members (node, n, component, degree) dealt to buckets by their rare shingles.
+    """The members (node, n, component, degree) dealt to buckets by their rare shingles, with the place of each among
+    their own, their set and its parity.
 
     Two sets of the similarity asked for share at least one of the n - ceil(0.8 n) + 1 rarest shingles of each, in
     one order for all. Members that only have a common passage in common do not meet here, and no similar
     pair is lost.
     """
-    # A doc_id may stand for several sets; each keeps its size.
+    # A doc_id may stand for several sets; each is a member of its own.
+    named = sets.withColumn("set", F.xxhash64("members")).withColumnRenamed("doc_id", "node")
     members = members.dropDuplicates(["node", "n"])
-    each = sets.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("node"), F.size("members").cast("bigint").alias("n"), F.explode("members").alias("key")
-    )
+    each = named.join(members.select("node").distinct(), "node", "left_semi").select("node", "set", F.explode("members").alias("key"))
+    own = named.select("node", "set", F.size("members").cast("bigint").alias("n"), "parity").dropDuplicates(["node", "set"])
     listed = (
         each.withColumn("_c", F.count("*").over(W.partitionBy("key")))
         .where("_c > 1")
-        .groupBy("node", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("_c", "key"))).alias("_shared"))
+        .groupBy("node", "set")
+        .agg(F.sort_array(F.collect_set(F.struct("_c", "key"))).alias("_shared"))
+        .join(own, ["node", "set"])
         .join(members, ["node", "n"])
     )
     # Shingles of one member only come first in the order and meet nothing.
     rare = f"greatest(0, int(n - ({PERCENT} * n + 99) div 100 + 1 - (n - size(_shared))))"
-    return listed.withColumn("key", F.explode(F.expr(f"slice(_shared, 1, {rare})").getField("key"))).drop("_shared")
+    return listed.select(
+        *members.columns, "set", "parity", (F.col("n") - F.size("_shared")).alias("_alone"),
+        F.posexplode(F.expr(f"slice(_shared, 1, {rare})").getField("key")).alias("_nth", "key"),
+    ).withColumn("at", F.col("_alone") + F.col("_nth")).drop("_alone", "_nth")
 
 
 def _classes(signed: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -569,6 +570,37 @@ def test_a_common_passage_makes_few_pairs(spark, monkeypatch):
     assert all(size <= 2000 * near.BANDS for size in sizes)
 
 
+def test_the_exact_step_tests_only_pairs_that_can_be_similar(spark, monkeypatch):
+    """Texts of seven out of ten blocks: every shingle is in many texts, no pair is similar, but for one near copy."""
+    blocks = [" ".join(f"b{b}w{i}" for i in range(20)) for b in range(10)]
+    texts = [" ".join(chosen) for chosen in combinations(blocks, 7)]
+    texts.append(texts[0] + " end")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = _components(_shingle_sets(list(enumerate(texts)), 4))
+    signed = stage(near.signatures(df).withColumn("bands", F.array().cast("array<bigint>")), "no-bands")
+    sizes, plain = [], near.stage
+
+    def counted(frame, name, **options):
+        table = plain(frame, name, **options)
+        if name == "near-pairs":
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(near, "stage", counted)
+    got = {r.node: r.component for r in near.linked_components(df, signed).collect()}
+    assert {d: got.get(d, d) for d in expected} == expected and got[len(texts) - 1] == 0
+    assert sum(sizes) < len(texts)
+
+
+def test_parities_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 300, 3000):
+        a = np.unique(rng.integers(0, 2**64, size, np.uint64))
+        b = np.unique(np.concatenate([a[size // 7 :], rng.integers(0, 2**64, size // 9 + 1, np.uint64)]))
+        differ = sum(int(x ^ y).bit_count() for x, y in zip(near.parity(a).view(np.uint64), near.parity(b).view(np.uint64)))
+        assert 0 < differ <= len(np.setxor1d(a, b))
+
+
 def test_rows_of_one_id_keep_both_texts(spark):
     one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
     rows = [(1, one + " x"), (5, one), (5, two), (9, two + " y"), (7, "alone in the world today")]
