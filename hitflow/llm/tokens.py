@@ -177,6 +177,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def write(docs: DataFrame, path: str, tokenizer: str, shards: int) -> None:
     """Write doc_id and text of ``docs`` as segments below ``path``; ``tokenizer`` is a file on every executor."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

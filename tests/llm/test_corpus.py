@@ -92,7 +92,7 @@ def test_coded_ids_are_smaller_than_their_entropy_and_than_zlib():
 
 
 def test_coding_takes_no_longer_than_a_microsecond_an_id():
-    """Both ways, on a full segment of words in several vocabularies; the coder before took 1.4 to 2.8."""
+    """Both ways, on a full segment of words in several vocabularies; the coder before took 1.4 on ids of documents."""
     rng = np.random.default_rng(5)
     topic = np.repeat(rng.integers(0, 4, 1 << 10), 1 << 11)
     ids = topic * 4000 + rng.zipf(1.3, len(topic)) % 4000
